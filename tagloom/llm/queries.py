@@ -34,5 +34,27 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(secret_spans(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.warc import archive_round_trip
+
+    return archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.fingerprints import fingerprint_neighbours
+
+    return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.toxicity import score, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1
+    model = train(docs, _table(spark, sf_dir, "labels"), held_out)
+    scored = score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES = {"op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
 ORACLE: dict[str, str] = {}
