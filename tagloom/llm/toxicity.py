@@ -75,7 +75,7 @@ def _feature_rows(texts: list[str]) -> list[list[int]]:
     return out
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, deltas: list[tuple[np.ndarray, np.ndarray]], *, sparsity: float = 2e-4, fairness: float = 1.0, rounds: int = 250) -> Model:
+def fit(rows: list[np.ndarray], labels: np.ndarray, deltas: list[tuple[np.ndarray, np.ndarray]], *, sparsity: float = 2e-5, fairness: float = 1.0, rounds: int = 300) -> Model:
     """Logistic loss with an L1 term, and `fairness` times the mean squared
     change of the log-odds between a text and its counterpart with identity
     terms exchanged. Full batches, so the same rows give the same weights."""
@@ -91,7 +91,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, deltas: list[tuple[np.ndarra
     # features that say something: a chi-square of label against presence
     expect = n * labels.mean()
     chi = (n1 - expect) ** 2 / np.maximum(expect * (1 - labels.mean()), 1e-9)
-    used = np.flatnonzero((n >= 4) & (chi > 4))
+    used = np.flatnonzero((n >= 3) & (chi > 15))
     place = np.full(1 << BITS, -1)
     place[used] = np.arange(len(used))
     keep = place[flat] >= 0
