@@ -46,6 +46,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.neardup import THREE_85, near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), THREE_85)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.llm.toxicity import score, train
 
@@ -56,5 +62,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
+QUERIES = {"op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
 ORACLE: dict[str, str] = {}
