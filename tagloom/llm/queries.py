@@ -34,6 +34,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(secret_spans(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.decontaminate import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.llm.warc import archive_round_trip
 
@@ -62,5 +68,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
+QUERIES = {"op3_decontamination": op3_decontamination, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
 ORACLE: dict[str, str] = {}
