@@ -16,6 +16,12 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.suffixes import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.llm.sharding import shard_by_bytes
 
@@ -68,5 +74,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op3_decontamination": op3_decontamination, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
 ORACLE: dict[str, str] = {}
