@@ -3,6 +3,7 @@ text buffers, vectorised word hashing and the chunk table."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -47,6 +48,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     here, so a lost executor costs no recomputation of what stands above."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    # shuffle files that nothing needs any more go with the driver's garbage
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -46,6 +46,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm.pitman_yor import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.llm.warc import archive_round_trip
 
@@ -74,5 +80,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op3_decontamination": op3_decontamination, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_pitman_yor": op4_pitman_yor, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
 ORACLE: dict[str, str] = {}
