@@ -19,7 +19,7 @@ def _tokenizer() -> str:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagloom.llm.suffixes import remove_repeats
 
-    return remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+    return remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_kept=False)
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

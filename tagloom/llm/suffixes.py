@@ -15,9 +15,9 @@ from tagloom.llm.common import _BYTE, _powers, materialize, mix
 WIDTH = 50
 #: Bytes of the substrings among which a window's anchor is the least.
 GRAM = 24
-STEP = 1 << 20
+STEP = 1 << 19
 #: Bytes of text for each bucket.
-BUCKET = 4 << 20
+BUCKET = 1 << 20
 #: Fixed value: a difference cover modulo 7. Every difference of two residues
 #: is one of two members.
 COVER, PERIOD = (0, 1, 3), 7
@@ -132,15 +132,15 @@ class Runs:
     equal ones). Equal windows have equal anchors. `start`, `count` (windows),
     `key` (the anchor's hash), `context` (hash of all the run's bytes), `doc`."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, contexts: bool = True):
         parts = []
         for a in range(0, max(0, len(data) - WIDTH + 1), STEP):
-            parts.append(self._part(data, offsets, a, min(a + STEP, len(data) - WIDTH + 1)))
+            parts.append(self._part(data, offsets, a, min(a + STEP, len(data) - WIDTH + 1), contexts))
         columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64)]
         self.start, self.count, self.key, self.context, self.doc = columns
 
     @staticmethod
-    def _part(data, offsets, a, b):
+    def _part(data, offsets, a, b, contexts):
         piece = np.concatenate([data[a : b + WIDTH - 1], np.zeros(8, np.uint8)])
         word = np.ndarray((len(piece) - 7,), "<u8", piece, strides=(1,))
         n = len(piece) - 8 - GRAM + 1
@@ -160,6 +160,8 @@ class Runs:
         bound = np.flatnonzero(new | ~inside)
         end = np.append(bound, b - a)[np.searchsorted(bound, head, "right")]
         count = end - head
+        if not contexts:
+            return head + a, count, low[head], low[head], doc[head]
         up, down = _powers(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(_BYTE[piece] * up[: len(piece)], out=sums[1:])
@@ -287,9 +289,9 @@ def _span_hashes(text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
     return out
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that
-    stay) of each row of docs (doc_id, text), less every byte covered by a
+def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (with_kept) kept, the
+    bytes that stay, of each row of docs (doc_id, text), less every byte covered by a
     50-byte string that also starts in a document with a smaller doc_id.
 
     Texts are packed in chunks. Every window of 50 bytes is known by its anchor;
@@ -308,7 +310,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def ask(batches):
         for chunk, _ in chunks_of(batches):
-            top, several = _fingerprints(Runs(chunk.data, chunk.offsets), chunk.ids, bits)
+            top, several = _fingerprints(Runs(chunk.data, chunk.offsets, contexts=False), chunk.ids, bits)
             cut = _per_bucket(top, bits)
             rest = (top & np.uint64(0xFFFFFFFF)).astype("<u4")
             yield rows_batch(chunk.number, [
@@ -371,22 +373,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 place = pending[_spread(a, b - a)]
                 np.add.at(marks, x.start[place] + lo[each], 1)
                 np.add.at(marks, x.start[place] + hi[each] + WIDTH - 1, -1)
-            gone = np.cumsum(marks[:-1]) > 0
+            gone = np.cumsum(marks[:-1], dtype=np.int32) > 0
             first = gone.copy()
             first[1:] &= ~gone[:-1]
             inner = chunk.offsets[:-1][chunk.offsets[:-1] < n]
             first[inner] = gone[inner]
-            removed, spans = (np.concatenate([[0], np.cumsum(v)])[chunk.offsets] for v in (gone, first))
+            removed, spans = (np.concatenate([[0], np.cumsum(v, dtype=np.int64)])[chunk.offsets] for v in (gone, first))
             kept = chunk.data[~gone].tobytes()
             at = chunk.offsets - removed
             pieces = [kept[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([None if i == _LEAST else int(i) for i in chunk.ids], pa.int64()), pa.array(np.diff(chunk.offsets)), pa.array(np.diff(removed)), pa.array(np.diff(spans)),
-                 pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()), pa.array(pieces, pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                 pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()), *([pa.array(pieces, pa.binary())] if with_kept else [])],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_kept else [])])
 
     whole = with_told.join(answers(found, "found"), "chunk", "left_outer")
-    return whole.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return whole.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else ""))
 
 
 def _answer_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
