@@ -23,7 +23,7 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 10.0
 BURN, SAMPLES = 2, 3
 #: Customers of a dish up to which its tables are drawn exactly.
 EXACT = 64
-CHUNK = 6 << 20
+CHUNK = 9 << 20
 BUCKET = 4 << 20
 END = np.uint64(0x3C6EF372FE94F82B)
 
