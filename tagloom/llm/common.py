@@ -3,7 +3,9 @@ text buffers, vectorised word hashing and the chunk table."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -20,7 +22,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes worked on at once inside a task; a longer document is taken alone.
-SLICE = 1 << 21
+SLICE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,6 +103,21 @@ def slices(offsets: np.ndarray, most: int = SLICE):
         a = b
 
 
+def tidy(run):
+    """run as a task's function that hands freed memory back to the system at
+    its end: workers live on, and the next stage's memory comes on top."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser over uint64: spreads every input bit; one to one."""
     h = h ^ (h >> np.uint64(31))

@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Words, materialize, mix, parts_of, ship, slices, utf8_column
+from tagloom.llm.common import Words, materialize, mix, parts_of, ship, slices, tidy, utf8_column
 from tagloom.llm.components import components
 
 _LEAST = -(1 << 63)
+#: Hashes of the signatures by which pairs between components are chosen.
+WIDE = 640
 #: Members of a bucket that are compared in one block.
 BLOCK = 1024
 #: Rows of two numbers that may be broadcast.
@@ -37,10 +39,9 @@ class Settings:
     def hashes(self) -> int:
         return self.rows * self.bands
 
-    @property
-    def least(self) -> float:
+    def least(self, hashes: int) -> float:
         s = self.percent / 100
-        return s - 4 * (s * (1 - s) / self.hashes) ** 0.5
+        return s - 4 * (s * (1 - s) / hashes) ** 0.5
 
 
 THREE_85 = Settings(width=3, percent=85, rows=5, bands=26)
@@ -68,9 +69,9 @@ def _class_of(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _minima(h: np.ndarray, offsets: np.ndarray, count: int) -> np.ndarray:
+def _minima(h: np.ndarray, offsets: np.ndarray, count: int, seed: int = 0) -> np.ndarray:
     """For each non-empty set, the minima of `count` universal hashes."""
-    rng = np.random.default_rng(20240101)
+    rng = np.random.default_rng(20240101 + seed)
     a = rng.integers(1 << 62, size=count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(1 << 63, size=count, dtype=np.uint64)
     starts = offsets[:-1][np.diff(offsets) > 0]
@@ -85,9 +86,10 @@ def _minima(h: np.ndarray, offsets: np.ndarray, count: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, s: Settings) -> DataFrame:
     """doc_id, n (set size), cid (class of equal sets), keys (of the bands; null
-    for empty sets), sig (8 bits of each minimum)."""
+    for empty sets), sig (8 bits of each minimum),
+    marks (32 bits of each key)."""
     ship(docs.sparkSession)
-    schema = "doc_id long, n long, cid long, keys array<long>, sig binary"
+    schema = "doc_id long, n long, cid long, keys array<long>, sig binary, marks binary"
 
     def run(batches):
         for batch in batches:
@@ -107,11 +109,11 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(rows * s.bands, pa.int32()), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], pa.array(n), pa.array(_class_of(h, at)), lists,
-                     pa.array([sig[r].tobytes() if f else None for r, f in zip(rows[:-1], full, strict=True)], pa.binary())],
-                    names=["doc_id", "n", "cid", "keys", "sig"])
+                     *(pa.array([x[r].tobytes() if f else None for r, f in zip(rows[:-1], full, strict=True)], pa.binary()) for x in (sig, keys.astype("<u4")))],
+                    names=["doc_id", "n", "cid", "keys", "sig", "marks"])
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 # ------------------------------------------------------------ pairs in buckets
@@ -123,7 +125,7 @@ def _likely(sig: np.ndarray, n: np.ndarray, own: np.ndarray, s: Settings) -> np.
     for column in sig.T:
         agree += column[:, None] == column[None, :]
     est = (agree / sig.shape[1] - 1 / 256) / (1 - 1 / 256)
-    fits = est >= s.least
+    fits = est >= s.least(sig.shape[1])
     fits &= 100 * np.minimum(n[:, None], n[None, :]) >= s.percent * np.maximum(n[:, None], n[None, :])
     if own.min() != own.max():
         fits &= own[:, None] != own[None, :]
@@ -147,15 +149,26 @@ def _forest(est: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _new_here(i: np.ndarray, j: np.ndarray, marks: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows whose first common band is that of the key."""
+    own, keep = np.uint32(key & 0xFFFFFFFF), np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 16):
+        x, y = marks[i[a : a + (1 << 16)]], marks[j[a : a + (1 << 16)]]
+        first = np.argmax(x == y, axis=1)
+        keep[a : a + len(x)] = x[np.arange(len(x)), first] == own
+    return i[keep], j[keep]
+
+
 def _pairs(cand: DataFrame, s: Settings, across: bool) -> DataFrame:
     """(x, y), x < y: pairs of classes that share a bucket and are likely links:
     of each block a spanning forest, or, with across, every one between
-    different components (column root). Buckets beyond BLOCK members are dealt
+    different components (columns root, and marks: a pair counts in the first
+    band that it shares, once). Buckets beyond BLOCK members are dealt
     by pairs of blocks over as many groups, so none has to fit in a task."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK))
     own = F.pmod(F.xxhash64("cid"), blocks)
     wide = cand.withColumn("own", own).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    wide = wide.select("key", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "cid", "n", "sig", *(["root"] if across else []))
+    wide = wide.select("key", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "cid", "n", "sig", *(["root", "marks"] if across else []))
     dealt = wide.repartition(parts_of(cand.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j", "cid")
 
     def of_group(part: pa.Table):
@@ -167,7 +180,7 @@ def _pairs(cand: DataFrame, s: Settings, across: bool) -> DataFrame:
         if across:
             root = part["root"].to_numpy()
             est[root[:, None] == root[None, :]] = 0
-            i, j = np.nonzero(np.triu(est))
+            i, j = _new_here(*np.nonzero(np.triu(est)), np.frombuffer(utf8_column(part["marks"])[0], "<u4").reshape(len(part), -1), part["key"][0].as_py())
         else:
             i, j = (np.array(x, int) for x in (zip(*_forest(est), strict=True) if est.any() else ((), ())))
         if len(i):
@@ -187,7 +200,7 @@ def _pairs(cand: DataFrame, s: Settings, across: bool) -> DataFrame:
         if held is not None:
             yield from of_group(held)
 
-    return dealt.mapInArrow(run, "x long, y long").distinct()
+    return dealt.mapInArrow(tidy(run), "x long, y long").distinct()
 
 
 # ------------------------------------------------------------ confirmation
@@ -203,8 +216,15 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4", n).astype(np.uint64) | (np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(cid, set) of the wanted classes (cid, doc_id), each once."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings, wide: bool = False) -> DataFrame:
+    """(cid, set) of the wanted classes (cid, doc_id), each once; with wide, 8
+    bits of each of WIDE further minima instead of the set."""
+
+    def blobs(h, at):
+        if not wide:
+            return [_pack(h[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+        rows = iter((_minima(h, at, WIDE, 1) & np.uint64(0xFF)).astype(np.uint8))
+        return [next(rows).tobytes() if n else b"" for n in np.diff(at)]
 
     def run(batches):
         for batch in batches:
@@ -213,14 +233,14 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
                 words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 h, at = _sets(words, s.width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array(_class_of(h, at)), pa.array([_pack(h[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())],
+                    [batch.column(0)[a:b], pa.array(_class_of(h, at)), pa.array(blobs(h, at), pa.binary())],
                     names=["doc_id", "cid", "set"])
 
     ids = wanted.select("doc_id").distinct()
     if ids.count() <= SMALL:
         ids = F.broadcast(ids)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = rows.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, cid long, set binary")
+    found = rows.join(ids, "doc_id", "left_semi").mapInArrow(tidy(run), "doc_id long, cid long, set binary")
     return found.select("cid", "set").dropDuplicates(["cid"])
 
 
@@ -243,7 +263,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, s: Settings)
 
     full = pairs.join(sets.select(F.col("cid").alias("x"), F.col("set").alias("a")), "x").join(
         sets.select(F.col("cid").alias("y"), F.col("set").alias("b")), "y")
-    return full.select("x", "y", "a", "b").mapInArrow(run, "u long, v long")
+    return full.select("x", "y", "a", "b").mapInArrow(tidy(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, s: Settings) -> DataFrame:
@@ -253,8 +273,8 @@ def near_duplicates(docs: DataFrame, s: Settings) -> DataFrame:
     Rows with equal sets are one class from the start. Classes meet in buckets
     of equal bands; signatures leave the likely pairs. Of each bucket a spanning
     forest of them is confirmed on full sets and gives components; then every
-    likely pair between different components of a bucket is confirmed as well,
-    so a chain missing in a forest is found while the pairs inside a component
+    pair between different components of a bucket that longer signatures leave
+    likely is confirmed as well, so a chain missing in a forest is found while the pairs inside a component
     are never listed. Components come from large-star and small-star steps.
 
     Null text is empty; empty texts and those of white space have no shingles
@@ -275,7 +295,7 @@ def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, n, cid), (classes: cid, component_id)."""
     table = materialize(signatures(docs, s), "dup-rows")
     reps = materialize(
-        table.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")),
+        table.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig"), F.first("marks").alias("marks")),
         "dup-classes")
     bands = reps.select("cid", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -286,7 +306,10 @@ def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     roots = components(links)
     with_root = cand.join(roots, F.col("cid") == F.col("node"), "left_outer").withColumn("root", F.coalesce("root", "cid")).drop("node")
     open_keys = with_root.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    with_root = materialize(with_root.join(open_keys, "key", "left_semi"), "dup-open")
+    with_root = materialize(with_root.join(open_keys, "key", "left_semi").drop("sig"), "dup-open")
+    in_open = materialize(with_root.select("cid").distinct().join(reps.select("cid", F.col("rep").alias("doc_id"), "marks"), "cid"), "dup-wanted")
+    wide = _full_sets(docs, in_open, s, wide=True).withColumnRenamed("set", "sig")
+    with_root = with_root.join(in_open.select("cid", "marks").join(wide, "cid"), "cid")
     rest = _pairs(with_root, s, across=True).join(first, ["x", "y"], "left_anti")
     rest = materialize(rest, "dup-pairs")
     if not rest.isEmpty():
@@ -340,5 +363,4 @@ def _text_classes(docs: DataFrame, s: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(_class_of(h, at))], names=["_k", "_t", "_c"])
 
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("_k"), F.sha2(text, 256).alias("_t"), text.alias("text")).mapInArrow(
-        run, "_k long, _t string, _c long").distinct()
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("_k"), F.sha2(text, 256).alias("_t"), text.alias("text")).mapInArrow(tidy(run), "_k long, _t string, _c long").distinct()
