@@ -11,12 +11,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import ship
+from tagloom.llm.common import ship, tidy
 
 #: Fixed value: the split of the byte-level vocabularies, before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Words that a worker remembers; past it, it starts again with none.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -68,7 +68,7 @@ class TrieBpe:
     def fit(self, a: bytes, b: bytes) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 400_000:
+            if len(self.fits) > 250_000:
                 self.fits.clear()
             known = self.fits[a, b] = self.merge(a + b) == [a, b]
         return known
@@ -171,7 +171,7 @@ def bpe_encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                 columns = [keys[a:b], pa.array([g[1] for g in got], pa.int64()), pa.array([sha(g[0]) for g in got]), pa.array([sha(g[2]) for g in got])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    flat = np.array([x for g in got if g[0] for x in g[0].split(",")], dtype=np.int32)
+                    flat = np.fromstring(",".join([g[0] for g in got if g[0]]), np.int32, sep=",")
                     ends = np.concatenate([[0], np.cumsum([g[1] for g in got])]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                     names.append("ids")
@@ -180,4 +180,4 @@ def bpe_encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
 
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import fresh_path, parts_of, ship, utf8_column
+from tagloom.llm.common import fresh_path, parts_of, ship, tidy, utf8_column
 
 _LEAST = -(1 << 63)
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
@@ -58,7 +58,7 @@ def chunk_table(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
             names=["chunk", "n", "ids", "lengths", "data"])
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = rows.mapInArrow(run, "chunk long, n long, ids binary, lengths binary, data binary")
+    table = rows.mapInArrow(tidy(run), "chunk long, n long, ids binary, lengths binary, data binary")
     return bucketed(table, "chunk", 2 * parts_of(spark))
 
 

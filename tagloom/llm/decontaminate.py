@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Words, mix, ship, slices, utf8_column
+from tagloom.llm.common import Words, mix, ship, slices, tidy, utf8_column
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -200,7 +200,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame) -> list:
             k = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], names=["k", "n"])
 
-        counted = docs.select("text").mapInArrow(count_seeds, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+        counted = docs.select("text").mapInArrow(tidy(count_seeds), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
         frequency = np.zeros(len(items.grams), np.int64)
         for k, n in counted.collect():  # as many as the pass has seeds, at most
             frequency[k] = n
@@ -241,7 +241,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                              pa.array([f[3] for f in found]), pa.array([f[4] for f in found])],
                             names=["doc_id", "item_id", "similarity", "start_word", "end_word"])
 
-        part = rows.mapInArrow(run, schema)
+        part = rows.mapInArrow(tidy(run), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -259,5 +259,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         keep[a + f[0]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mix, parts_of, range_bounds, range_part, ship
+from tagloom.llm.common import mix, parts_of, range_bounds, range_part, ship, tidy
 
 #: Bytes of an anchor and of its inner substrings.
 K, S = 32, 8
@@ -146,4 +146,4 @@ def fingerprint_neighbours(docs: DataFrame, slice_chars: int = 1 << 20) -> DataF
                     yield _rows(keys, texts)
                     keys, texts, size = keys[-1:], texts[-1:], len(texts[-1])
 
-    return dealt.select("part", "doc_id", "text", "lent").mapInArrow(run, SCHEMA)
+    return dealt.select("part", "doc_id", "text", "lent").mapInArrow(tidy(run), SCHEMA)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.chunks import _LEAST, answers, bucket_rows, buckets_for, by_bucket, chunk_table, chunks_of, rows_batch
-from tagloom.llm.common import Words, materialize, slices
+from tagloom.llm.common import Words, materialize, slices, tidy
 
 #: Classes of preceding words, 2^CONTEXT_BITS: the context restaurants. This is
 #: also the bound of the totals that are collected and sent to every task.
@@ -228,7 +228,7 @@ def _sums(table: DataFrame, per_bucket) -> tuple[np.ndarray, np.ndarray, np.ndar
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(CONTEXTS + 4)), pa.array(np.concatenate([a, rest])), pa.array(np.concatenate([b, np.zeros(4)]))], names=["at", "a", "b"])
 
-    got = table.select("bucket", "merged").mapInArrow(run, "at long, a double, b double").groupBy("at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).orderBy("at")
+    got = table.select("bucket", "merged").mapInArrow(tidy(run), "at long, a double, b double").groupBy("at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).orderBy("at")
     rows = got.collect()  # one row for each context class, CONTEXTS + 4
     a, b = (np.array([r[k] for r in rows] or [0.0] * (CONTEXTS + 4)) for k in ("a", "b"))
     return a[:CONTEXTS], b[:CONTEXTS], a[CONTEXTS:]
@@ -274,8 +274,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 [pa.array([number]), pa.array([_merged([r["blob"] for r in rows])], pa.binary()), pa.array([[r["chunk"] for r in rows]], pa.list_(pa.int64())), pa.array([[r["blob"] for r in rows]], pa.list_(pa.binary()))],
                 names=["bucket", "merged", "chunks", "blobs"])
 
-    asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(ask, "chunk long, bucket long, blob binary")
-    state = materialize(by_bucket(asked).mapInArrow(merge, "bucket long, merged binary, chunks array<long>, blobs array<binary>"), "seating")
+    asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(tidy(ask), "chunk long, bucket long, blob binary")
+    state = materialize(by_bucket(asked).mapInArrow(tidy(merge), "bucket long, merged binary, chunks array<long>, blobs array<binary>"), "seating")
 
     def count(_, b: Bucket):
         return np.bincount(b.context, b.count, minlength=CONTEXTS), np.bincount(b.context, minlength=CONTEXTS), np.array([len(b.count), len(b.word), b.count.sum(), len(b.word)])
@@ -321,7 +321,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     raw = n.astype("<u4").tobytes() + score.astype("<f4").tobytes()
                     yield rows_batch(chunk, [(row["bucket"], pa.compress(raw, codec="zstd", asbytes=True))], ("bucket", "blob"))
 
-    given = answers(state.mapInArrow(answer, "chunk long, bucket long, blob binary"), "answers")
+    given = answers(state.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "answers")
 
     def score(batches):
         for chunk, row in chunks_of(batches):
@@ -340,5 +340,4 @@ def score_documents(docs: DataFrame) -> DataFrame:
                  pa.array(np.full(len(chunk.ids), int(tokens))), pa.array(total(np.log10((seen + 1) / (tokens + words + 1)))), pa.array(total(p[t.index]))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return table.select("chunk", "ids", "lengths", "data").join(given, "chunk", "left_outer").mapInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return table.select("chunk", "ids", "lengths", "data").join(given, "chunk", "left_outer").mapInArrow(tidy(score), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

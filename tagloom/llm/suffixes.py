@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tagloom.llm.chunks import answers, bucket_rows, buckets_for, by_bucket, chunk_table, chunks_of, rows_batch
-from tagloom.llm.common import _BYTE, _powers, materialize, mix
+from tagloom.llm.common import _BYTE, _powers, materialize, mix, tidy
 
 #: Bytes of a repeated string.
 WIDTH = 50
@@ -330,8 +330,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
             out = [(r["chunk"], bucket, np.packbits(known[a:b]).tobytes()) for r, a, b in zip(rows, cut[:-1], cut[1:], strict=True) if known[a:b].any()]
             yield _answer_batch(out)
 
-    asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(ask, "chunk long, bucket long, rest binary, several binary")
-    told = materialize(by_bucket(asked).mapInArrow(tell, "chunk long, bucket long, blob binary"), "suffix-shared")
+    asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(tidy(ask), "chunk long, bucket long, rest binary, several binary")
+    told = materialize(by_bucket(asked).mapInArrow(tidy(tell), "chunk long, bucket long, blob binary"), "suffix-shared")
     with_told = table.select("chunk", "ids", "lengths", "data").join(answers(told, "told"), "chunk", "left_outer")
 
     def send(batches):
@@ -351,8 +351,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
         for bucket, rows in bucket_rows(batches):
             yield _answer_batch([(c, bucket, blob) for c, blob in _join_bucket(rows)])
 
-    sent = with_told.mapInArrow(send, "chunk long, bucket long, blob binary, n long, size long")
-    found = materialize(by_bucket(sent).mapInArrow(sort, "chunk long, bucket long, blob binary"), "suffix-found")
+    sent = with_told.mapInArrow(tidy(send), "chunk long, bucket long, blob binary, n long, size long")
+    found = materialize(by_bucket(sent).mapInArrow(tidy(sort), "chunk long, bucket long, blob binary"), "suffix-found")
 
     def finish(batches):
         for chunk, row in chunks_of(batches):
@@ -388,7 +388,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_kept else [])])
 
     whole = with_told.join(answers(found, "found"), "chunk", "left_outer")
-    return whole.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else ""))
+    return whole.mapInArrow(tidy(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else ""))
 
 
 def _answer_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:

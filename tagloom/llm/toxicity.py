@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Words, ship, slices, utf8_column
+from tagloom.llm.common import Words, ship, slices, tidy, utf8_column
 
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out=None, most_rows: int = MO
                  pa.array([None if t is None else next(changed).astype(np.int32) for t in other], pa.list_(pa.int32()))],
                 names=["doc_id", "toxic", "own", "other"])
 
-    got = texts.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, own array<int>, other array<int>").toArrow()
+    got = texts.select("doc_id", "text", "toxic").mapInArrow(tidy(run), "doc_id long, toxic int, own array<int>, other array<int>").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
     own = [r.values.to_numpy().astype(np.int64) for r in got["own"]]
     deltas = [(own[i], r.values.to_numpy().astype(np.int64)) for i, r in enumerate(got["other"]) if r.is_valid]
@@ -176,4 +176,4 @@ def score(docs: DataFrame, model: Model, keep_below: float | None = None) -> Dat
             else:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], names=[*names, "score"])
 
-    return docs.select(*names).mapInArrow(run, out)
+    return docs.select(*names).mapInArrow(tidy(run), out)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import fresh_path, materialize, parts_of, range_bounds, range_part, ship
+from tagloom.llm.common import fresh_path, materialize, parts_of, range_bounds, range_part, ship, tidy
 
 _LEAST = -(1 << 63)
 #: Compressed bytes at which a file is closed.
@@ -163,7 +163,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, roll: int = ROLL
         kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["temp", "file", "records", "bytes", "sha256"])
 
-    made = materialize(dealt.mapInArrow(write, "temp string, file string, records long, bytes long, sha256 string"), "warc-made")
+    made = materialize(dealt.mapInArrow(tidy(write), "temp string, file string, records long, bytes long, sha256 string"), "warc-made")
 
     def commit(batches):
         from pyarrow import fs as arrow_fs
@@ -178,7 +178,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, roll: int = ROLL
             yield batch.select(["file", "records", "bytes", "sha256"])
 
     manifest = path + "/manifest"
-    made.repartition(parts_of(spark)).mapInArrow(commit, "file string, records long, bytes long, sha256 string").write.parquet(manifest)
+    made.repartition(parts_of(spark)).mapInArrow(tidy(commit), "file string, records long, bytes long, sha256 string").write.parquet(manifest)
     return spark.read.schema("file string, records long, bytes long, sha256 string").parquet(manifest)
 
 
@@ -222,8 +222,7 @@ def read_archives(spark, path: str) -> DataFrame:
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), KINDS, strict=True)], names=NAMES)
 
-    return manifest.select("file", "sha256").repartition(parts_of(spark), "file").mapInArrow(
-        read, "page_id long, copy long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+    return manifest.select("file", "sha256").repartition(parts_of(spark), "file").mapInArrow(tidy(read), "page_id long, copy long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
 NAMES = ["page_id", "copy", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
