@@ -6,7 +6,7 @@ attributes, exclude, include, copy, rename, metadata.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import Config, blank_to_none, parse_csv
@@ -32,21 +32,27 @@ _MAP, _ENTRIES = "map<string,string>", "array<struct<key:string,value:string>>"
 
 # ------------------------------------------------------------ map helpers
 
+def settle(spark: SparkSession) -> None:
+    """The session settings that label maps rely on: of equal keys the last one
+    counts, times are UTC. Checks of duplicate keys by hand would name each map
+    several times, and expressions would grow with every stage."""
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def keep_first(upper: Column, lower: Column) -> Column:
     """Both maps; where both have a key, upper's value."""
-    return F.map_concat(F.map_filter(lower, lambda k, _: ~F.map_contains_key(upper, k)), upper)
+    return F.map_concat(lower, upper)
 
 
-def map_of_first(entries: Column) -> Column:
-    """A map of (key, value) entries; of equal keys the first counts, entries
-    without a value none."""
-    entries = F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+def map_of_last(entries: Column) -> Column:
+    """A map of (key, value) entries; of equal keys the last counts, entries
+    without a key or value none."""
+    return F.map_from_entries(F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
 
 
-def map_of_last(entries: Column) -> Column:
-    return map_of_first(F.reverse(entries))
+def map_of_first(entries: Column) -> Column:
+    return map_of_last(F.reverse(entries))
 
 
 def entry(key: str | Column, value: Column) -> Column:
@@ -64,6 +70,7 @@ def rewritten(tags: Column, keep, name) -> Column:
 
 def merge_tags(df: DataFrame) -> DataFrame:
     """`tags`: intrinsic before meta before external, for each key."""
+    settle(df.sparkSession)
     return df.withColumn("tags", keep_first(F.col("intrinsic"), keep_first(F.col("meta"), F.col("external"))))
 
 
@@ -175,7 +182,10 @@ def map_labels(df: DataFrame, cfg: Config | None = None) -> DataFrame:
     cfg = (cfg or Config()).validate()
     df = attribute_labels(default_labels(drop_nameless(merge_tags(df)), cfg))
     df = include(exclude(df, parse_csv(cfg.labels_exclude)), parse_csv(cfg.labels_include))
-    return metadata(rename(copy(df, cfg.copy), cfg.rename), cfg)
+    df = metadata(rename(copy(df, cfg.copy), cfg.rename), cfg)
+    # a list of one, exploded: predicates on labels are not pushed below the
+    # projection, where they would work the whole mapping out again
+    return df.withColumn("labels", F.explode_outer(F.array("labels")))
 
 
 def valid(df: DataFrame) -> DataFrame:
@@ -186,4 +196,4 @@ def valid(df: DataFrame) -> DataFrame:
 
 def long_form(df: DataFrame) -> DataFrame:
     """(seq, label, value), one row for each label."""
-    return df.select("seq", F.explode("labels").alias("label", "value"))
+    return df.select("seq", F.explode_outer("labels").alias("label", "value")).where("label is not null")
