@@ -180,7 +180,7 @@ class Words:
         counts = np.diff(self.first)
         n = len(self.hash)
         h = np.zeros(max(0, n - width + 1), np.uint64)
-        for i in range(width):
+        for i in range(width if len(h) else 0):
             h = mix(h * np.uint64(0xD6E8FEB86659FD93) + self.hash[i : n - width + 1 + i] + np.uint64(i + 1))
         whole = self.doc[: len(h)] == self.doc[width - 1 :] if len(h) else np.zeros(0, bool)
         at = np.flatnonzero(whole)
