@@ -81,4 +81,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_pitman_yor": op4_pitman_yor, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
-ORACLE: dict[str, str] = {}
+#: Near-duplicates by joining all shingles; recursion over links.
+ORACLE: dict[str, str] = {
+    "op9_neardup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.c >= 85 * (na.n + nb.n - p.c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.b, w.doc_id)) AS component_id, least(w.doc_id, coalesce(least.b, w.doc_id)) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least ON least.a = w.doc_id
+""",
+}
