@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.config import DISCOVERY_BATCH, LOOKBACK_SECONDS, PHASE_TWO_CALLS
 from tagloom.operators.labels import EXTERNAL, META, keep_first
 from tagloom.operators.match import Matcher, matching
+from tagloom.operators.order import numbered
 
 
 def lookback(df: DataFrame, now_ms: int, seconds: int = LOOKBACK_SECONDS) -> DataFrame:
@@ -43,8 +44,7 @@ def find_series_two_phase(df: DataFrame, matchers: list[Matcher], compat: bool =
 
 def discovery_batches(ids: DataFrame, size: int = DISCOVERY_BATCH) -> DataFrame:
     """(value, batch): ordered identifiers in chunks."""
-    order = Window.orderBy("value")
-    return ids.select("value", F.floor((F.row_number().over(order) - 1) / size).cast("bigint").alias("batch"))
+    return numbered(ids.select("value"), "value").select("value", F.floor((F.col("ordinal") - 1) / size).cast("bigint").alias("batch"))
 
 
 def check_calls(count: int, size: int = DISCOVERY_BATCH, most: int = PHASE_TWO_CALLS) -> int:

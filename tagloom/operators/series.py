@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.operators.order import numbered
+
 
 def sorted_entries(labels: Column) -> Column:
     return F.array_sort(F.map_entries(labels))
@@ -77,6 +79,5 @@ def symbols(series: DataFrame) -> DataFrame:
     Only distinct texts with their first places are ordered."""
     parts = series.select("series_id", F.posexplode(F.flatten(F.transform(sorted_entries(F.col("labels")), lambda e: F.array(e["key"], e["value"])))).alias("pos", "symbol"))
     first = parts.where("symbol <> ''").groupBy("symbol").agg(F.min(F.struct("series_id", "pos")).alias("at"))
-    order = Window.orderBy("at")
-    numbered = first.select("symbol", F.row_number().over(order).cast("bigint").alias("ref"))
-    return numbered.unionByName(series.sparkSession.range(1).select(F.lit("").alias("symbol"), F.lit(0).cast("bigint").alias("ref")))
+    placed = numbered(first.select("symbol", "at", F.col("at.series_id").alias("series_id")), "series_id", "at", "ref").select("symbol", "ref")
+    return placed.unionByName(series.sparkSession.range(1).select(F.lit("").alias("symbol"), F.lit(0).cast("bigint").alias("ref")))

@@ -161,8 +161,8 @@ _BODY = {
 }
 
 ORACLES = {k: f"WITH {BASE} {v}" for k, v in _BODY.items()} | {
-    "sanitize_metric": f"SELECT doc_id, {_metric('left(text, 60)')} AS name FROM documents",
-    "sanitize_label": f"SELECT doc_id, {_label('left(text, 60)')} AS name FROM documents",
+    "sanitize_metric": f"SELECT doc_id, {_metric('text')} AS name FROM documents",
+    "sanitize_label": f"SELECT doc_id, {_label('text')} AS name FROM documents",
     "snake_case": f"SELECT key, lower(regexp_replace(regexp_replace(key, '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g'), '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) AS snake FROM {_KEYS}",
     "glob_match": f"SELECT key, regexp_full_match(key, 'if.*|.*:.*|.1B') AS matched, lower(key) LIKE '%api%' AS any_case FROM {_KEYS}",
     "backoff_schedule": "SELECT CAST(k AS INTEGER) AS k, CAST(least(100 * pow(2, k), 5000) AS BIGINT) AS pause_ms FROM range(10) t(k)",

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import Config
@@ -89,7 +89,7 @@ def resource_parse(spark, d):
 # ---------------------------------------------------------------- scalars
 
 def _texts(spark, d) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.substring("text", 1, 60).alias("text"))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
 
 
 @query
@@ -275,12 +275,20 @@ def wire_v2_symbols(spark, d):
     return T.symbols(rows).select("symbol", "ref")
 
 
+def _one_row(*tables: DataFrame) -> DataFrame:
+    """The columns of tables of one row each, side by side."""
+    rows = tables[0]
+    for t in tables[1:]:
+        rows = rows.unionByName(t, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 @query
 def drop_accounting(spark, d):
     raw = samples(spark, d)
     name = F.coalesce(F.col("intrinsic")["name"], F.lit(""))
     counts = raw.agg(F.count("*").alias("received"), F.sum((name == "").cast("bigint")).alias("nameless"))
-    return counts.crossJoin(T.batch_summary(mapped(spark, d, NARROW), ts="ts_day_ms"))  # a row each
+    return _one_row(counts, T.batch_summary(mapped(spark, d, NARROW), ts="ts_day_ms"))
 
 
 @query
@@ -375,9 +383,7 @@ def _finite_series(spark, d) -> DataFrame:
 @query
 def range_merge(spark, d):
     rows = T.drop_nonfinite(_narrow(spark, d)).where(F.col("labels")["__name__"] == "click")
-    ord_ = rows.select("series").distinct().withColumn("series_ord", F.dense_rank().over(Window.orderBy("series")))
-    joined = rows.join(ord_, "series").select("series_ord", F.col("seq").alias("idx"), F.col("ts_day_ms").alias("ts_ms"), "value")
-    return R.merge_ranges(joined)
+    return R.merge_ranges(rows.select(F.col("series").alias("series_ord"), F.col("seq").alias("idx"), F.col("ts_day_ms").alias("ts_ms"), "value"))
 
 
 @query
@@ -470,7 +476,7 @@ def overflow_drop_oldest(spark, d):
 
 @query
 def pipeline_stats(spark, d):
-    one = drop_accounting(spark, d).crossJoin(unparseable_count(spark, d).withColumnRenamed("samples", "unparseable"))  # a row each
+    one = _one_row(drop_accounting(spark, d), unparseable_count(spark, d).withColumnRenamed("samples", "unparseable"))
     names = ["received", "nameless", "series", "written", "dropped_nonfinite", "dropped_duplicate", "unparseable"]
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("bigint").alias("value")) for n in names])).alias("x")).select("x.*")
 

@@ -172,3 +172,15 @@ def test_entry_module_has_sql_for_its_queries():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_numbered_counts_over_partitions(spark):
+    from tagloom.operators.order import numbered
+
+    rows = [(f"k{i % 37:02d}", i) for i in range(500)] + [(None, 500)]
+    df = spark.createDataFrame(rows, "key string, seq int").repartition(7)
+    got = numbered(df.selectExpr("key", "seq", "struct(key, seq) AS at"), "key", "at").select("ordinal", "key", "seq").orderBy("ordinal").collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [tuple(r) for r in got] == [(n + 1, *r) for n, r in enumerate(want)]
+    assert numbered(df.limit(0), "key").count() == 0
+    assert [r.ordinal for r in numbered(df.where("key is null"), "key").collect()] == [1]
