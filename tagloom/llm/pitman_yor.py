@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.chunks import _LEAST, answers, bucket_rows, buckets_for, by_bucket, chunk_table, chunks_of, rows_batch
-from tagloom.llm.common import Words, materialize, slices, tidy
+from tagloom.llm.chunks import _LEAST, answers, bucket_rows, bucketed, buckets_for, by_bucket, chunk_table, chunks_of, rows_batch
+from tagloom.llm.common import Words, materialize, parts_of, slices, tidy
 
-#: Classes of preceding words, 2^CONTEXT_BITS: the context restaurants. This is
-#: also the bound of the totals that are collected and sent to every task.
-CONTEXT_BITS = 12
-CONTEXTS = 1 << CONTEXT_BITS
+#: Contexts (hashes of preceding words) that one row of an exchange holds at most.
+CONTEXTS = 1 << 12
 #: Discounts and strengths of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.75, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 10.0
@@ -81,22 +79,39 @@ def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.n
     return tables
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    raw = b"".join(a.tobytes() for a in arrays)
+    return np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _raw(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], decompressed_size=int(np.frombuffer(blob, "<i8", 1)[0]), codec="zstd", asbytes=True)
+
+
 class Bucket:
     """The dishes (words) of a hash bucket: `word`, and the pairs (word, context)
-    with their customers, words ascending, contexts ascending within."""
-
-    def __init__(self, raw: bytes):
-        n, m = np.frombuffer(raw, "<i8", 2)
-        self.word = np.frombuffer(raw, "<u8", n, 16)
-        self.size = np.frombuffer(raw, "<i8", n, 16 + 8 * n)
-        self.count = np.frombuffer(raw, "<i8", m, 16 + 16 * n).astype(np.float64)
-        self.context = np.frombuffer(raw, "<u2", m, 16 + 16 * n + 8 * m).astype(np.int64)
+    with their customers, words ascending, contexts ascending within. `context` is
+    a place in `contexts`, the hashes of all preceding words here, ascending.
+    Pairs of held-out documents alone have no customers."""
+
+    def __init__(self, blob: bytes):
+        raw = _raw(blob)
+        n, m, k = (int(x) for x in np.frombuffer(raw, "<i8", 3))
+        self.word = np.frombuffer(raw, "<u8", n, 24)
+        self.size = np.frombuffer(raw, "<i8", n, 24 + 8 * n)
+        self.contexts = np.frombuffer(raw, "<u8", k, 24 + 16 * n)
+        self.count = np.frombuffer(raw, "<i8", m, 24 + 16 * n + 8 * k).astype(np.float64)
+        self.context = np.frombuffer(raw, "<u4", m, 24 + 16 * n + 8 * k + 8 * m).astype(np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.of = np.repeat(np.arange(n), self.size)
 
     @staticmethod
-    def pack(word, size, count, context) -> bytes:
-        return np.array([len(word), len(context)], "<i8").tobytes() + word.astype("<u8").tobytes() + size.astype("<i8").tobytes() + count.astype("<i8").tobytes() + context.astype("<u2").tobytes()
+    def pack(word, size, count, context, contexts=np.zeros(0, np.uint64)) -> bytes:
+        return _packed(np.array([len(word), len(context), len(contexts)], "<i8"), word.astype("<u8"), size.astype("<i8"), contexts.astype("<u8"), count.astype("<i8"), context.astype("<u4"))
+
+    def by_context(self, values) -> np.ndarray:
+        """Sums of the pairs' values for each of `contexts`."""
+        return np.bincount(self.context, values, minlength=len(self.contexts))
 
     def words(self) -> np.ndarray:
         """Customers of each word."""
@@ -104,8 +119,8 @@ class Bucket:
 
 
 class Totals:
-    """What all buckets need to know of each other: the customers and tables of
-    the context restaurants, of the root, tokens and distinct words."""
+    """What a bucket needs to know of the others: the customers and tables of
+    its context restaurants, of the root, tokens and distinct words."""
 
     def __init__(self, customers, tables, root_customers, root_tables, tokens, words):
         self.customers, self.tables = customers, tables
@@ -129,7 +144,9 @@ def sample(number: int, bucket: Bucket, totals: Totals, burn: int, samples: int)
     elsewhere as they were in the round before."""
     rng = np.random.default_rng([20240229, number])
     n, m = len(bucket.word), len(bucket.count)
-    tables, root_customers, root_tables = np.ones(m), np.add.reduceat(np.ones(m), bucket.first) if n else np.zeros(0), np.ones(n)
+    tables = np.minimum(bucket.count, 1)
+    root_customers = np.add.reduceat(tables, bucket.first) if n else np.zeros(0)
+    root_tables = np.minimum(root_customers, 1)
     kept = [np.zeros(m), np.zeros(n), np.zeros(n)]
     for sweep in range(burn + samples):
         p = totals.root(root_customers, root_tables)
@@ -138,7 +155,7 @@ def sample(number: int, bucket: Bucket, totals: Totals, burn: int, samples: int)
         tables[more] = draw_tables(rng, bucket.count[more], p[bucket.of[more]], others, DISCOUNT, STRENGTH)
         root_customers = np.add.reduceat(tables, bucket.first) if n else root_customers
         more = np.flatnonzero(root_customers > 1)
-        root_tables = np.ones(n)
+        root_tables = np.minimum(root_customers, 1)
         base = np.full(len(more), 1 / (totals.words + 1))
         root_tables[more] = draw_tables(rng, root_customers[more], base, np.full(len(more), max(0.0, totals.root_tables - 1)), ROOT_DISCOUNT, ROOT_STRENGTH)
         if sweep >= burn:
@@ -154,9 +171,9 @@ def held_out_id(doc_id: int) -> bool:
 
 
 class Tokens:
-    """A chunk's tokens, an END after each document: `word` (hash), `context`,
-    `doc`; its distinct words by hash, and distinct pairs by word and context
-    with `index`, the pair of every token."""
+    """A chunk's tokens, an END after each document: `word` (hash), `doc`; its
+    distinct words by hash, and distinct pairs by word and preceding word with
+    `index`, the pair of every token."""
 
     def __init__(self, chunk):
         parts, docs = [], []
@@ -172,11 +189,11 @@ class Tokens:
         self.word[np.arange(len(hashes)) + doc] = hashes
         self.sizes = n + 1
         self.doc = np.repeat(np.arange(rows), self.sizes)
-        before = np.concatenate([[END], self.word[:-1]]) if rows else self.word
-        context = (before >> np.uint64(64 - CONTEXT_BITS)).astype(np.int64)
         self.words, which = np.unique(self.word, return_inverse=True)
-        pairs, self.index = np.unique((which.astype(np.int64) << CONTEXT_BITS) | context, return_inverse=True)
-        self.pair_word, self.pair_context = pairs >> CONTEXT_BITS, pairs & (CONTEXTS - 1)
+        which = which.astype(np.int64)
+        before = np.concatenate([np.searchsorted(self.words, [END]), which[:-1]]) if rows else which
+        pairs, self.index = np.unique((which << 32) | before, return_inverse=True)
+        self.pair_word, self.pair_context = pairs >> 32, self.words[pairs & 0xFFFFFFFF]
         self.held_out = np.array([held_out_id(int(i)) for i in chunk.ids], bool)
         self.counts = np.bincount(self.index, ~self.held_out[self.doc], minlength=len(pairs)).astype(np.int64)
 
@@ -187,51 +204,84 @@ class Tokens:
 
 
 def _question(words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> bytes:
-    raw = words.astype("<u8").tobytes() + sizes.astype("<u4").tobytes() + contexts.astype("<u2").tobytes() + counts.astype("<u4").tobytes()
-    return np.array([len(words), len(contexts)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return _packed(np.array([len(words), len(contexts)], "<i8"), words.astype("<u8"), contexts.astype("<u8"), sizes.astype("<u4"), counts.astype("<u4"))
 
 
 def _asked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    n, m = (int(x) for x in np.frombuffer(blob, "<i8", 2))
-    raw = pa.decompress(blob[16:], decompressed_size=12 * n + 6 * m, codec="zstd", asbytes=True)
-    return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64), np.frombuffer(raw, "<u2", m, 12 * n).astype(np.int64), np.frombuffer(raw, "<u4", m, 12 * n + 2 * m).astype(np.int64)
+    raw = _raw(blob)
+    n, m = (int(x) for x in np.frombuffer(raw, "<i8", 2))
+    return np.frombuffer(raw, "<u8", n, 16), np.frombuffer(raw, "<u4", n, 16 + 8 * (n + m)).astype(np.int64), np.frombuffer(raw, "<u8", m, 16 + 8 * n), np.frombuffer(raw, "<u4", m, 16 + 12 * n + 8 * m).astype(np.int64)
 
 
-def _merged(questions: list[bytes]) -> bytes:
-    """The training counts of a bucket's pairs over all chunks."""
+def _merged(questions: list[bytes]) -> tuple[bytes, list[bytes]]:
+    """A bucket's pairs over all chunks with their training counts, and the pairs
+    of each question: ascending places among them, as steps."""
     word, context, count = [], [], []
     for q in questions:
         w, size, c, n = _asked(q)
-        some = n > 0
-        word.append(np.repeat(w, size)[some])
-        context.append(c[some])
-        count.append(n[some])
-    word, context, count = (np.concatenate(x) for x in (word, context, count))
-    words, which = np.unique(word, return_inverse=True)
-    pairs, index = np.unique((which.astype(np.int64) << CONTEXT_BITS) | context, return_inverse=True)
-    counts = np.bincount(index, count, minlength=len(pairs)).astype(np.int64)
-    return Bucket.pack(words, np.bincount(pairs >> CONTEXT_BITS, minlength=len(words)), counts, pairs & (CONTEXTS - 1))
+        word.append(np.repeat(w, size))
+        context.append(c)
+        count.append(n)
+    ends = np.cumsum([len(c) for c in context])
+    words, which = np.unique(np.concatenate(word), return_inverse=True)
+    contexts, at = np.unique(np.concatenate(context), return_inverse=True)
+    pairs, index = np.unique((which.astype(np.int64) << 32) | at, return_inverse=True)
+    counts = np.bincount(index, np.concatenate(count), minlength=len(pairs)).astype(np.int64)
+    merged = Bucket.pack(words, np.bincount(pairs >> 32, minlength=len(words)), counts, pairs & 0xFFFFFFFF, contexts)
+    return merged, [_packed(np.diff(x, prepend=0).astype("<u4")) for x in np.split(index, ends[:-1])]
 
 
 # ------------------------------------------------------------------ the job
 
-def _sums(table: DataFrame, per_bucket) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Totals over all buckets: per_bucket(number, Bucket) gives two arrays over
-    contexts and four numbers. A task adds up its buckets first."""
+def _exchange(rows: DataFrame, parts: int, per_bucket) -> tuple[DataFrame, np.ndarray]:
+    """Totals of the context restaurants over all buckets: per_bucket(row, Bucket)
+    gives the tables of the pairs and four numbers. Each context belongs to one of
+    `parts` hash ranges, which adds up what the buckets send and gives each its
+    own contexts' customers and tables back. Returns (bucket, totals), and the sum
+    of the four numbers, which is all that the driver sees."""
 
-    def run(batches):
-        a, b, rest = np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(4)
+    def send(batches):
         for batch in batches:
-            for i in range(len(batch)):
-                x, y, z = per_bucket(batch.column(0)[i].as_py(), Bucket(batch.column(1)[i].as_py()))
-                a, b, rest = a + x, b + y, rest + z
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(CONTEXTS + 4)), pa.array(np.concatenate([a, rest])), pa.array(np.concatenate([b, np.zeros(4)]))], names=["at", "a", "b"])
-
-    got = table.select("bucket", "merged").mapInArrow(tidy(run), "at long, a double, b double").groupBy("at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).orderBy("at")
-    rows = got.collect()  # one row for each context class, CONTEXTS + 4
-    a, b = (np.array([r[k] for r in rows] or [0.0] * (CONTEXTS + 4)) for k in ("a", "b"))
-    return a[:CONTEXTS], b[:CONTEXTS], a[CONTEXTS:]
+            for row in batch.to_pylist():
+                b = Bucket(row["merged"])
+                tables, rest = per_bucket(row, b)
+                customers, tables = b.by_context(b.count), b.by_context(tables)
+                part = (b.contexts >> np.uint64(65 - parts.bit_length())).astype(np.int64)
+                cut = np.searchsorted(part, np.arange(parts + 1))
+                to, at, blobs = [parts], [0], [_packed(np.asarray(rest, "<f8"))]
+                for p in range(parts):
+                    for i in range(cut[p], cut[p + 1], CONTEXTS):
+                        own = slice(i, min(i + CONTEXTS, cut[p + 1]))
+                        to.append(p)
+                        at.append(i)
+                        blobs.append(_packed(b.contexts[own], customers[own], tables[own]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["bucket"]] * len(to)), pa.array(to), pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["chunk", "bucket", "at", "blob"])
+
+    def add(batches):
+        for part, got in bucket_rows(batches):
+            raw = [np.frombuffer(_raw(r["blob"]), "<f8") for r in got]
+            if part == parts:
+                to, at, blobs = [-1], [0], [_packed(np.sum(raw, axis=0))]
+            else:
+                raw = [r.reshape(3, -1) for r in raw]
+                contexts, which = np.unique(np.concatenate([r[0].view(np.uint64) for r in raw]), return_inverse=True)
+                sums = [np.bincount(which, np.concatenate([r[i] for r in raw]), minlength=len(contexts)) for i in (1, 2)]
+                places = np.split(which, np.cumsum([r.shape[1] for r in raw])[:-1])
+                to, at, blobs = [r["chunk"] for r in got], [r["at"] for r in got], [_packed(sums[0][x], sums[1][x]) for x in places]
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "at", "blob"])
+
+    sent = rows.mapInArrow(tidy(send), "chunk long, bucket long, at long, blob binary")
+    found = materialize(by_bucket(sent).mapInArrow(tidy(add), "bucket long, at long, blob binary"), "totals")
+    rest = [np.frombuffer(_raw(bytes(r["blob"])), "<f8") for r in found.where("bucket < 0").collect()]  # one row
+    given = found.where("bucket >= 0").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("at", "blob"))).alias("totals"))
+    return given, rest[0] if rest else np.zeros(4)
+
+
+def _totals(pieces: list[dict], *rest: float) -> Totals:
+    """A bucket's view of an exchange's totals, in the order of its contexts."""
+    both = np.concatenate([np.frombuffer(_raw(x["blob"]), "<f8").reshape(2, -1) for x in pieces], axis=1)
+    return Totals(both[0], both[1], *rest)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -239,17 +289,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     each row of docs (doc_id, text); the model learns from the rows outside
     held_out (crc32(doc_id as text) mod 7 is 2).
 
-    Two levels: a restaurant for each class of preceding words (2^12 hash
-    classes), whose new tables are customers of one common parent over words,
-    whose new tables are drawn from 1 / (V + 1). Chunks of texts send the
-    distinct words and pairs of theirs to hash buckets of words; a bucket holds
-    every restaurant's seating for its words, so Gibbs sweeps run in all buckets
-    at once, and exchange the restaurants' totals between rounds (one round to
-    settle, one to sample). The scores use seatings averaged over the samples,
-    with totals of the same averages, so that each context's probabilities sum
-    to one. Buckets answer each chunk's own questions. Nothing in the driver or
-    broadcast grows beyond the 2^12 classes; a frequent word is one row of each
-    chunk.
+    Two levels: a restaurant for each preceding word (64-bit hash), whose new
+    tables are customers of one common parent over words, whose new tables are
+    drawn from 1 / (V + 1). Chunks of texts send their distinct words and pairs to
+    hash buckets of words; a bucket holds every restaurant's seating for its
+    words, so Gibbs sweeps run in all buckets at once. Between rounds (one round
+    to settle, one to sample) the restaurants' totals are added up in hash ranges
+    of contexts and joined to the buckets that have the context. The scores use
+    seatings averaged over the samples, with totals of the same averages, so that
+    each context's probabilities sum to one. Buckets answer each chunk's own
+    questions. The driver sees sums of four numbers; nothing is broadcast. A
+    frequent word's pairs stay in one bucket.
 
     Null text is empty (its END is scored); null doc_id is never held out;
     repeated rows count and are scored each; without training rows every word
@@ -270,58 +320,50 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def merge(batches):
         for number, rows in bucket_rows(batches):
+            merged, places = _merged([r["blob"] for r in rows])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([_merged([r["blob"] for r in rows])], pa.binary()), pa.array([[r["chunk"] for r in rows]], pa.list_(pa.int64())), pa.array([[r["blob"] for r in rows]], pa.list_(pa.binary()))],
-                names=["bucket", "merged", "chunks", "blobs"])
+                [pa.array([number]), pa.array([merged], pa.binary()), pa.array([[r["chunk"] for r in rows]], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.binary()))],
+                names=["bucket", "merged", "chunks", "places"])
 
     asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(tidy(ask), "chunk long, bucket long, blob binary")
-    state = materialize(by_bucket(asked).mapInArrow(tidy(merge), "bucket long, merged binary, chunks array<long>, blobs array<binary>"), "seating")
+    merged = by_bucket(asked).mapInArrow(tidy(merge), "bucket long, merged binary, chunks array<long>, places array<binary>")
+    state = bucketed(merged, "bucket", 2 * parts_of(docs.sparkSession))
+    own = state.select("bucket", "merged")
+    parts = max(16, 1 << bits >> 5)
 
     def count(_, b: Bucket):
-        return np.bincount(b.context, b.count, minlength=CONTEXTS), np.bincount(b.context, minlength=CONTEXTS), np.array([len(b.count), len(b.word), b.count.sum(), len(b.word)])
+        some = np.minimum(b.count, 1)
+        return some, [some.sum(), (b.words() > 0).sum(), b.count.sum(), 0]
 
-    customers, distinct, (pairs, words, tokens, _) = _sums(state, count)
-    totals = Totals(customers, distinct, pairs, words, tokens, words)
+    first, (pairs, words, tokens, _) = _exchange(own, parts, count)
 
-    def tables(totals: Totals, burn: int, samples: int):
-        def run(number, b: Bucket):
-            t, root_customers, root_tables = sample(number, b, totals, burn, samples)
-            return np.zeros(CONTEXTS), np.bincount(b.context, t, minlength=CONTEXTS), np.array([root_customers.sum(), root_tables.sum(), 0, 0])
+    def tables(given: DataFrame, rest, burn: int, samples: int):
+        def run(row, b: Bucket):
+            t, root_customers, root_tables = sample(row["bucket"], b, _totals(row["totals"], *rest, tokens, words), burn, samples)
+            return t, [root_customers.sum(), root_tables.sum(), 0, 0]
 
-        _, found, rest = _sums(state, run)
-        return Totals(customers, found, rest[0], rest[1], tokens, words)
+        found, rest_ = _exchange(own.join(given, "bucket"), parts, run)
+        return found, (rest_[0], rest_[1])
 
-    settled = tables(totals, BURN, 1)
-    final = tables(settled, 1, SAMPLES)
+    settled, settled_root = tables(first, (pairs, words), BURN, 1)
+    final, final_root = tables(settled, settled_root, 1, SAMPLES)
 
     def answer(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Bucket(row["merged"])
-                t, root_customers, root_tables = sample(row["bucket"], b, settled, 1, SAMPLES)
-                root = final.root(root_customers, root_tables)
-                known = b.words()
-                keys = (b.of << CONTEXT_BITS) | b.context
-                unseen = final.root(0.0, 0.0)
-                for chunk, blob in zip(row["chunks"], row["blobs"], strict=True):
-                    w, size, context, _ = _asked(blob)
-                    at = np.minimum(np.searchsorted(b.word, w), max(0, len(b.word) - 1))
-                    has = (b.word[at] == w) if len(b.word) else np.zeros(len(w), bool)
-                    n = np.where(has, known[at], 0) if len(b.word) else np.zeros(len(w))
-                    p = np.where(has, root[at], unseen) if len(b.word) else np.full(len(w), unseen)
-                    of = np.repeat(np.arange(len(w)), size)
-                    if len(keys):
-                        key = (at[of] << CONTEXT_BITS) | context
-                        i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                        seen = has[of] & (keys[i] == key)
-                        c, seats = np.where(seen, b.count[i], 0), np.where(seen, t[i], 0)
-                    else:
-                        c = seats = np.zeros(len(of))
-                    score = np.log10(final.pair(c, seats, context, p[of]))
-                    raw = n.astype("<u4").tobytes() + score.astype("<f4").tobytes()
+                t, root_customers, root_tables = sample(row["bucket"], b, _totals(row["totals"], *settled_root, tokens, words), 1, SAMPLES)
+                totals = _totals(row["final"], *final_root, tokens, words)
+                root = totals.root(root_customers, root_tables)
+                known = b.words().astype("<u4")
+                score = np.log10(totals.pair(b.count, t, b.context, root[b.of])).astype("<f4")
+                for chunk, blob in zip(row["chunks"], row["places"], strict=True):
+                    at = np.cumsum(np.frombuffer(_raw(blob), "<u4"), dtype=np.int64)
+                    raw = known[np.unique(b.of[at])].tobytes() + score[at].tobytes()
                     yield rows_batch(chunk, [(row["bucket"], pa.compress(raw, codec="zstd", asbytes=True))], ("bucket", "blob"))
 
-    given = answers(state.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "answers")
+    ready = state.join(settled, "bucket").join(final.withColumnRenamed("totals", "final"), "bucket")
+    given = answers(ready.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "answers")
 
     def score(batches):
         for chunk, row in chunks_of(batches):

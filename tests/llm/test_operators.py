@@ -234,6 +234,24 @@ def test_table_counts_follow_their_law():
     assert (t == 2).mean() == pytest.approx(new / (new + 1 - 0.5), abs=0.01)
 
 
+def test_contexts_are_whole_words(spark):
+    """Twice as many contexts as there were classes: each has a restaurant of its
+    own, and its totals reach the word that follows it alone. With 4096 classes the
+    followers of a class were mixed up."""
+    import zlib
+
+    n = 8192
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train, test = ([i for i in range(200_000) if held(i) == h] for h in (False, True))
+    rows = [(train[k], " ".join(f"c{i} d{i} c{i} d{i} c{i} d{i}" for i in range(128 * k, 128 * k + 128))) for k in range(n // 128)]
+    rows += [(test[0], " ".join(f"c{i} d{i}" for i in range(0, n, 64))), (test[1], " ".join(f"c{i} d{(i + 32) % n}" for i in range(0, n, 64)))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = pitman_yor.chunks_of(pitman_yor.chunk_table(table).select("chunk", "ids", "lengths", "data").toArrow().to_batches())
+    assert len({c for chunk, _ in chunks for c in pitman_yor.Tokens(chunk).pair_context.tolist()}) == 2 * n + 1
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in pitman_yor.score_documents(table).collect()}
+    assert got[test[0]] > got[test[1]] + 0.5
+
+
 def test_warc(spark):
     pages = [(i, f"http://h/{i}", t, "x") for i, t in enumerate(texts(2, 20))]
     pages += [pages[4], (None, None, "lone", "x"), (50, "u\r\n", "lone", "x")]
