@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman."""
+"""Benchmark decontamination: rare words near each other, then Smith-Waterman."""
 
 from __future__ import annotations
 
@@ -9,16 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Words, mix, ship, slices, tidy, utf8_column
+from tagloom.llm.common import Words, ship, slices, tidy, utf8_column
 
-WIDTH = 5
 SIMILARITY = 0.8
 #: Scores of the alignment: an equal word, another word, a word left out.
 MATCH, OTHER, GAP = 1.0, -0.25, -0.25
 #: Benchmark words that one pass over the documents takes along.
 PASS_WORDS = 2_000_000
-#: A seed that more than this share of the documents holds is frequent.
-FREQUENT = 0.001
+#: Seeds of an item that any copy at the limit holds, at least.
+NEAR = 3
+#: Places of hits that are worked on at once; a longer document is taken alone.
+PLACES = 1 << 20
 
 
 @dataclass
@@ -40,60 +41,48 @@ class Items:
 
 
 def load_items(rows: list[tuple[int, str]]) -> Items:
+    """The items with every word as a seed."""
     data, offsets = utf8_column(pa.array([t or "" for _, t in rows], pa.string()))
     words = Words(data, offsets)
-    h, item, first = words.shingles(WIDTH)
-    order = np.argsort(h, kind="stable")
-    return Items(np.array([i for i, _ in rows], np.int64), words.hash, words.first, np.unique(h), h[order], item[order], (first - words.first[item])[order])
-
-
-def _short_grams(words: Words, sizes: set[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of fewer words, hashed as a short item is hashed as a whole."""
-    out, n = [], len(words.hash)
-    for size in sorted(sizes):
-        if n < size:
-            continue
-        h = np.zeros(n - size + 1, np.uint64)
-        for i in range(size):
-            h = mix(h * np.uint64(0xD6E8FEB86659FD93) + words.hash[i : n - size + 1 + i] + np.uint64(i + 1))
-        at = np.flatnonzero(words.doc[: len(h)] == words.doc[size - 1 :])
-        out.append((mix(h[at] + np.uint64(size)), words.doc[at], at))
-    return out
+    order = np.argsort(words.hash, kind="stable")
+    pos = np.arange(len(words.hash)) - words.first[words.doc]
+    return Items(np.array([i for i, _ in rows], np.int64), words.hash, words.first, np.unique(words.hash), words.hash[order], words.doc[order], pos[order])
 
 
 def hits(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(gram's index, first word) of every seed in the documents."""
-    sizes = {int(x) for x in np.diff(items.first) if 0 < x < WIDTH}
-    parts = []
-    whole = np.diff(words.first) >= WIDTH
-    h, doc, at = words.shingles(WIDTH)
-    parts.append((h[whole[doc]], at[whole[doc]]))
-    parts += [(h, at) for h, _, at in _short_grams(words, sizes)]
-    h, at = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    """(gram's index, word) of every seed in the documents."""
     if not len(items.grams):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    k = np.minimum(np.searchsorted(items.grams, h), len(items.grams) - 1)
-    found = items.grams[k] == h
-    return k[found], at[found]
+    k = np.minimum(np.searchsorted(items.grams, words.hash), len(items.grams) - 1)
+    found = np.flatnonzero(items.grams[k] == words.hash)
+    return k[found], found
+
+
+def missing(length):
+    """How many of an item's words a copy at the limit may lack: each costs its
+    own point at least, whatever the edit. Inserted words take none away."""
+    return np.floor((1 - SIMILARITY) * np.asarray(length) + 1e-9).astype(np.int64)
+
 
+def inserted(length):
+    """How many words a copy at the limit may have between the item's words."""
+    return np.floor((1 - SIMILARITY) / -GAP * np.asarray(length) + 1e-9).astype(np.int64)
 
-def droppable(length: int) -> int:
-    """How many of an item's seeds may be left out without losing a copy with
-    substituted or missing words at the limit: each edit spoils WIDTH seeds."""
-    edits = int((1 - SIMILARITY) / (MATCH - OTHER) * length + 1e-9)
-    return max(0, length - WIDTH + 1 - WIDTH * edits - 1)
 
+def least_near(length):
+    """How many seeds of an item any copy at the limit holds."""
+    return np.minimum(NEAR, length - missing(length))
 
-def rare_seeds(items: Items, frequency: np.ndarray, frequent: float) -> Items:
-    """Leave out the most frequent seeds of each item, as far as droppable()
-    allows and only those beyond `frequent` documents."""
+
+def rare_seeds(items: Items, frequency: np.ndarray) -> Items:
+    """The rarest words of each item, so many that any copy at the limit holds
+    least_near() of them."""
     f = frequency[np.searchsorted(items.grams, items.at)] if len(items.at) else np.zeros(0)
-    good = np.ones(len(items.at), bool)
+    order = np.lexsort((items.pos, f, items.item))
     size = np.diff(items.first)
-    for i in np.unique(items.item[f > frequent]) if len(f) else []:
-        own = np.flatnonzero(items.item == i)
-        worst = own[np.argsort(-f[own], kind="stable")][: droppable(int(size[i]))]
-        good[worst[f[worst] > frequent]] = False
+    rank = np.arange(len(order)) - items.first[items.item[order]]
+    good = np.zeros(len(order), bool)
+    good[order] = rank < (missing(size) + least_near(size))[items.item[order]]
     return items.keep(good)
 
 
@@ -124,20 +113,53 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 
 def leaks_in(words: Words, items: Items) -> list[tuple[int, int, float, int, int]]:
     """(document, item's index, similarity, first word, end word) of the best
-    copy of each item in each document, at SIMILARITY or more. Hits of an item
-    that stand near each other share a region, which is aligned once."""
+    copy of each item in each document, at SIMILARITY or more."""
     k, at = hits(words, items)
-    if not len(k):
-        return []
     lo, hi = np.searchsorted(items.at, items.grams[k]), np.searchsorted(items.at, items.grams[k], "right")
-    each = np.repeat(np.arange(len(k)), hi - lo)
+    # documents by the places of their hits: a common word stands in many items
+    ends = np.cumsum(hi - lo)
+    cut = np.searchsorted(at, words.first)
+    total = np.concatenate([[0], ends])[cut]
+    out, a = [], 0
+    while a < words.rows:
+        b = max(a + 1, int(np.searchsorted(total, total[a] + PLACES, "right")) - 1)
+        out += _leaks(words, items, at[cut[a] : cut[b]], lo[cut[a] : cut[b]], hi[cut[a] : cut[b]])
+        a = b
+    return out
+
+
+def _near(doc: np.ndarray, item: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which hits, ordered by (doc, item, at), stand with as many of the same
+    item as a copy holds, within the words that a copy may span."""
+    near = np.zeros(len(at) + 1, np.int64)
+    need = least_near(size)
+    span = size + inserted(size)
+    for n in range(1, NEAR + 1):
+        i = np.flatnonzero(need == n)
+        i = i[i + n <= len(at)]
+        j = i + n - 1
+        i = i[(doc[i] == doc[j]) & (item[i] == item[j]) & (at[j] - at[i] < span[i])]
+        np.add.at(near, i, 1)
+        np.add.at(near, i + n, -1)
+    return np.cumsum(near[:-1]) > 0
+
+
+def _leaks(words: Words, items: Items, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int, float, int, int]]:
+    """leaks_in for the hits of some documents, each with its places [lo, hi).
+    Hits of an item that stand near each other share a region, which is aligned
+    once; a region spans all words of any copy that has its hit."""
+    each = np.repeat(np.arange(len(at)), hi - lo)
     place = np.arange(len(each)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[each]
-    item = items.item[place]
+    item, pos, at = items.item[place], items.pos[place], at[each]
+    doc = words.doc[at]
+    order = np.lexsort((at, item, doc))
+    item, pos, at, doc = item[order], pos[order], at[order], doc[order]
     size = np.diff(items.first)[item]
-    doc = words.doc[at[each]]
-    slack = size // 2 + 2
-    start = np.maximum(words.first[doc], at[each] - items.pos[place] - slack)
-    end = np.minimum(words.first[doc + 1], at[each] - items.pos[place] + size + slack)
+    good = _near(doc, item, at, size)
+    item, pos, at, doc, size = item[good], pos[good], at[good], doc[good], size[good]
+    slack = inserted(size)
+    start = np.maximum(words.first[doc], at - pos - slack)
+    end = np.minimum(words.first[doc + 1], at - pos + size + slack)
     order = np.lexsort((start, item, doc))
     doc, item, start, end = doc[order], item[order], start[order], end[order]
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
@@ -154,7 +176,9 @@ def leaks_in(words: Words, items: Items) -> list[tuple[int, int, float, int, int
         if key not in known:
             if len(known) > 50_000:
                 known.clear()
-            known[key] = align(items.words[items.first[item[i]] : items.first[item[i] + 1]], passage)
+            own = items.words[items.first[item[i]] : items.first[item[i] + 1]]
+            some = np.isin(own, passage).sum() >= len(own) - missing(len(own))
+            known[key] = align(own, passage) if some else (0.0, 0, 0)
         s, a, b = known[key]
         pair = (int(doc[i]), int(item[i]))
         if s >= SIMILARITY - 1e-9 and s > best.get(pair, (0.0,))[0]:
@@ -182,7 +206,6 @@ def _passes(docs: DataFrame, benchmark: DataFrame) -> list:
     texts = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text", F.size(F.split("text", r"[\x20\x09-\x0D]+")).cast("long").alias("n"))
     total = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     count = max(1, -(-total // PASS_WORDS))
-    n_docs = docs.count()
     out = []
     for p in range(count):
         rows = [(r[0], r[1]) for r in texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == p).select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator()]
@@ -194,9 +217,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame) -> list:
             total = np.zeros(len(items.grams), np.int64)
             for batch in batches:
                 for _, _, words in _each_slice(batch, "text"):
-                    k, at = hits(words, items)
-                    pairs = np.unique(words.doc[at] * np.int64(len(items.grams) + 1) + k)
-                    total += np.bincount(pairs % (len(items.grams) + 1), minlength=len(total)) if len(pairs) else 0
+                    total += np.bincount(hits(words, items)[0], minlength=len(total))
             k = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], names=["k", "n"])
 
@@ -204,7 +225,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame) -> list:
         frequency = np.zeros(len(items.grams), np.int64)
         for k, n in counted.collect():  # as many as the pass has seeds, at most
             frequency[k] = n
-        out.append(spark.sparkContext.broadcast(rare_seeds(items, frequency, max(20, FREQUENT * n_docs))))
+        out.append(spark.sparkContext.broadcast(rare_seeds(items, frequency)))
     return out
 
 
@@ -215,9 +236,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Similarity is the best local alignment of an item's words over their number,
     with 1 for an equal word and -0.25 for a substituted, added or missing one.
-    Seeds are runs of five words (an item of fewer words is one seed); of each
-    item the most frequent among the documents are left out as long as any copy
-    at the limit keeps one of the rest. Alignment sees every region with a seed.
+    Seeds are single words. A copy at the limit may lack a fifth of the item's
+    words, so of the item's rarest words among the documents, a fifth and three
+    more, it holds three within the words that it can span (an item of fewer
+    words: all that it must hold). Alignment sees every region with so many, so
+    the result is that of aligning each item with each whole document.
 
     The benchmark is broadcast in passes of bounded size, documents are not
     shuffled. Null texts are empty, an empty item or one without words matches

@@ -111,6 +111,30 @@ def test_decontamination(spark):
     assert decontaminate.find_leaks(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_what_alignment_finds(spark):
+    """Extra words after every fourth, items of few words, edits of all kinds:
+    the same pairs as aligning each item with each whole document."""
+    r = random.Random(11)
+    sizes = [1, 2, 4, 5, 7, 8, 9, 10, 13, 14, 19, 20, 25, 38, 45]
+    items = [[f"q{r.randint(0, 90)}" for _ in range(n)] for n in sizes]
+    rows = [" ".join(x for i, w in enumerate(t) for x in ([w, "extra"] if i % 4 == 3 else [w])) for t in items]
+    rows += [" ".join(f"{w} e{i}" if i < 0.8 * len(t) - 1 else w for i, w in enumerate(t)) for t in items]
+    for t in items * 6:
+        out = [f"q{r.randint(0, 90)}" for _ in range(r.randint(0, 30))]
+        for w in t:
+            out += r.choices([[w], [w, "in"], [], ["x"]], [1, r.choice([0, 0.2, 0.6]), 0.05, 0.05])[0]
+        rows.append(" ".join(out + [f"q{r.randint(0, 90)}" for _ in range(r.randint(0, 30))]))
+    rows.append(" ".join(rows[:40]))
+    code = lambda ws: np.array([hash(w) & 0x7FFFFFFF for w in ws], np.uint64)
+    expected = {(d, i): decontaminate.align(code(t), code(row.split()))[0] for d, row in enumerate(rows) for i, t in enumerate(items)}
+    expected = {k: s for k, s in expected.items() if s >= 0.8 - 1e-9}
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in decontaminate.find_leaks(frame, bench).collect()}
+    assert (13, 13) in expected and set(got) == set(expected)
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+
+
 def test_alignment_against_plain_dynamic_programming():
     r = random.Random(2)
     for _ in range(60):
