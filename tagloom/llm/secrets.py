@@ -12,7 +12,7 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: Weak parts, reported only beside complementary parts.
-BARE = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+BARE = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?:https?|s3)://[A-Za-z0-9.-]+[A-Za-z0-9](?::[0-9]+)?"
 KINDS = ["assign", "access", "hex", "secret", "endpoint"]
 SPAN = "struct<start:int,kind:int,end:int>"

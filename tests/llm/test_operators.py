@@ -341,6 +341,24 @@ def test_secrets(spark):
     assert texts_[0] == "x [SECRET]' y" and texts_[8] is None and bare not in texts_[5] and texts_[10] == "[SECRET]"
 
 
+def test_secrets_in_key_value_lines(spark):
+    """A bare secret right behind its '=', and the endpoint that needs it."""
+    access, bare, end = "AKIA" + "D" * 16, "aB3/" * 10, "https://s3.example.com"
+    rows = [
+        f"aws_access_key_id={access}\naws_secret_access_key={bare}\nendpoint_url={end}\n",
+        f"aws_access_key_id = {access}\naws_secret_access_key = {bare}\nendpoint_url = {end}\n",
+        f"id={access}\nx={bare}==\ny={bare}Z\n", f"x={bare}\n",
+    ]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest_columns(secrets.secret_spans(frame)).collect()}
+    for i in (0, 1):
+        at = lambda s: f"{rows[i].index(s)}:{rows[i].index(s) + len(s)}"  # noqa: B023, E731
+        assert got[i] == f"access:{at(access)},secret:{at(bare)},endpoint:{at(end)}"
+    assert "secret:" not in got[2] and got[3] == ""
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(frame).collect()}
+    assert clean[0] == "aws_access_key_id=[SECRET]\naws_secret_access_key=[SECRET]\nendpoint_url=[SECRET]\n"
+
+
 def test_fingerprints(spark):
     frame = docs(spark)
     rows = sorted(((r["doc_id"], r["text"] or "") for r in frame.collect()), key=lambda r: (-1 if r[0] is None else r[0], r[1]))
