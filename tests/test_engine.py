@@ -184,3 +184,22 @@ def test_numbered_counts_over_partitions(spark):
     assert [tuple(r) for r in got] == [(n + 1, *r) for n, r in enumerate(want)]
     assert numbered(df.limit(0), "key").count() == 0
     assert [r.ordinal for r in numbered(df.where("key is null"), "key").collect()] == [1]
+
+
+def test_wal_batch_syncs_segments(tmp_path, monkeypatch):
+    """BATCH syncs the segments written since the last flush or checkpoint."""
+    import os
+
+    from tagloom.sources.wal import Wal
+
+    synced, real = [], os.fsync
+    monkeypatch.setattr(os, "fsync", lambda fd: (synced.append(os.readlink(f"/proc/self/fd/{fd}")), real(fd))[1])
+    log = Wal(str(tmp_path), segment_bytes=1, fsync="BATCH")
+    for i in range(2):
+        assert log.append({"__name__": "m"}, i, 1.0)
+    assert not synced
+    log.advance(0)
+    assert [x for x in synced if x.endswith(".wal")] == [str(p) for p in log.segments()] and len(log.segments()) == 2
+    synced.clear()
+    log.flush()
+    assert not synced
