@@ -313,6 +313,26 @@ def test_bpe_equals_the_library(spark):
     same(bpe.bpe_encode(frame, path, with_ids=True), expected)
 
 
+def test_bpe_over_slices_and_generations(spark, monkeypatch):
+    """Slices of a few documents and memories of a few words change nothing."""
+    tokenizers, files = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = files.path("byte_bpe_50k.json")
+    plain = tokenizers.Tokenizer.from_file(path)
+    frame = docs(spark)
+    same(bpe.bpe_encode(frame, path, slice_chars=100), [tuple(r) for r in bpe.bpe_encode(frame, path).collect()])
+    assert bpe.bpe_encode(frame.limit(0), path).count() == 0
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    monkeypatch.setattr(bpe, "PAIRS", 20)
+    r, b = random.Random(4), bpe.TrieBpe(path)
+    for _ in range(20):
+        some = ["".join(r.choice("aaab ethio\né日1'.") for _ in range(r.randint(0, 60))) for _ in range(12)]
+        want = [plain.encode(t, add_special_tokens=False).ids for t in some]
+        joined, counts, ids = b.encode(some)
+        assert joined == [",".join(map(str, w)) for w in want] and ids.tolist() == sum(want, [])
+        assert b.decode(ids, counts) == [t.encode() for t in some]
+    assert b.decode(np.array(plain.encode("é").ids[:1]), np.array([1])) in ([b"\xc3\xa9"], ["\ufffd".encode()])
+
+
 def test_secrets(spark):
     bare = "Zz9" * 13 + "Q"
     rows = [
