@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from tagloom.config import LABEL_BYTES, RANGE_POINTS
 
 
 def _sanitized(c: Column, allowed: str) -> Column:
-    # characters outside the basic plane count as two
+    # most names are in order already; characters outside the basic plane count as two
     pairs = F.regexp_replace(c, r"[\x{10000}-\x{10FFFF}]", "__")
-    return F.regexp_replace(F.regexp_replace(pairs, f"[^{allowed}]", "_"), "^[0-9]", "_")
+    made = F.regexp_replace(F.regexp_replace(pairs, f"[^{allowed}]", "_"), "^[0-9]", "_")
+    return F.when(c.rlike(rf"\A(?![0-9])[{allowed}]*\z"), c).otherwise(made)
 
 
 def metric_name(c: Column) -> Column:
@@ -48,15 +51,38 @@ def if_speed(high: Column, low: Column) -> Column:
     return F.coalesce(millions, speed(low))
 
 
-def glob_regex(globs: list[str], ignore_case: bool = False) -> str:
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def glob_regex(globs: list[str]) -> str:
     """One pattern for a list of globs, to be matched from start to end."""
     special = set("\\.[]{}()+-^$|")
     one = lambda g: "".join(".*" if c == "*" else "." if c == "?" else "\\" + c if c in special else c for c in g)
-    return ("(?i)" if ignore_case else "") + r"\A(?:" + "|".join(map(one, globs)) + r")\z"
+    return r"(?s)\A(?:" + "|".join(map(one, globs)) + r")\z"
 
 
 def glob_match(c: Column, globs: list[str], ignore_case: bool = False) -> Column:
-    return c.rlike(glob_regex(globs, ignore_case)) if globs else F.lit(False)
+    """Whether one of the globs matches the whole text, letters A-Z in either
+    case if asked for. Globs without a wildcard inside are plain comparisons."""
+    if not globs:
+        return F.lit(False)
+    text = F.translate(c, _UPPER, _LOWER) if ignore_case else c
+    tests, equal, rest = [], [], []
+    for g in dict.fromkeys(g.translate(str.maketrans(_UPPER, _LOWER)) if ignore_case else g for g in globs):
+        inner = g.strip("*")
+        if "*" in inner or "?" in inner:
+            rest.append(g)
+        elif inner == g:
+            equal.append(g)
+        elif g[0] == g[-1] == "*":
+            tests.append(text.contains(inner))
+        else:
+            tests.append(text.startswith(inner) if g[-1] == "*" else text.endswith(inner))
+    if equal:
+        tests.append(text.isin(equal))
+    if rest:
+        tests.append(text.rlike(glob_regex(rest)))
+    return reduce(lambda a, b: a | b, tests)
 
 
 def parse_value(c: Column) -> Column:

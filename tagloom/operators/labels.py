@@ -6,12 +6,15 @@ attributes, exclude, include, copy, rename, metadata.
 
 from __future__ import annotations
 
+from fnmatch import fnmatchcase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.config import Config, blank_to_none, parse_csv
 from tagloom.functions import scalars as S
 from tagloom.functions.resource import derive_job, parse_resource
+from tagloom.operators.match import Matcher, matching
 
 # Source keys that the default labels stand for.
 CONSUMED = (
@@ -51,10 +54,6 @@ def map_of_last(entries: Column) -> Column:
     return F.map_from_entries(F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
 
 
-def map_of_first(entries: Column) -> Column:
-    return map_of_last(F.reverse(entries))
-
-
 def entry(key: str | Column, value: Column) -> Column:
     return F.struct((F.lit(key) if isinstance(key, str) else key).alias("key"), value.cast("string").alias("value"))
 
@@ -62,8 +61,8 @@ def entry(key: str | Column, value: Column) -> Column:
 def rewritten(tags: Column, keep, name) -> Column:
     """Labels of the tags that keep(key) holds for, in key order, named by
     name(key); the first of equal names counts."""
-    chosen = F.array_sort(F.map_entries(F.map_filter(tags, lambda k, _: keep(k))))
-    return map_of_first(F.transform(chosen, lambda e: entry(name(e["key"]), S.label_value(e["value"]))))
+    chosen = F.sort_array(F.map_entries(F.map_filter(tags, lambda k, _: keep(k))), asc=False)
+    return map_of_last(F.transform(chosen, lambda e: entry(name(e["key"]), S.label_value(e["value"]))))
 
 
 # ------------------------------------------------------------ stages
@@ -90,34 +89,51 @@ def default_labels(df: DataFrame, cfg: Config) -> DataFrame:
     t = lambda k: F.col("tags")[k]
     full = lambda c: F.when(c != "", c)
     df = df.withColumn("_r", parse_resource(t("resourceId")))
-    name = F.concat(F.lit(cfg.metric_prefix or ""), t("name"))
+    df = df.withColumn("_node", F.coalesce(_pair(t("foreignSource"), t("foreignId")), F.col("_r.node_id"), full(t("nodeId"))))
     job = F.lit(cfg.job_name) if cfg.job_name else derive_job(t("resourceId"), F.col("_r"))
-    pair = F.when(full(t("foreignSource")).isNotNull() & full(t("foreignId")).isNotNull(), F.concat_ws(":", t("foreignSource"), t("foreignId")))
-    node = S.label_value(F.coalesce(pair, F.col("_r.node_id"), full(t("nodeId"))))
     found = [
-        entry("__name__", S.metric_name(name)),
-        entry("resourceId", S.label_value(t("resourceId"))),
-        entry("resource_type", S.label_value(F.col("_r.resource_type"))),
-        entry("resource_instance", S.label_value(F.col("_r.resource_instance"))),
-        entry("job", S.label_value(job)),
-        entry("node", node),
-        entry("instance", node),
-        *[entry(label, S.label_value(full(t(key)))) for label, key in DIRECT.items()],
+        entry("resourceId", t("resourceId")),
+        entry("resource_type", F.col("_r.resource_type")),
+        entry("resource_instance", F.col("_r.resource_instance")),
+        entry("job", job),
+        entry("node", F.col("_node")),
+        entry("instance", F.col("_node")),
+        *[entry(label, full(t(key))) for label, key in DIRECT.items()],
     ]
     if cfg.instance_id:
-        found.insert(0, entry("onms_instance_id", S.label_value(F.lit(cfg.instance_id))))
+        found.insert(0, entry("onms_instance_id", F.lit(cfg.instance_id)))
     if cfg.if_speed_mode == "RAW":
-        found += [entry(k, F.when(S.speed(t(k)).isNotNull(), S.label_value(t(k)))) for k in ("ifSpeed", "ifHighSpeed")]
+        found += [entry(k, F.when(S.speed(t(k)).isNotNull(), t(k))) for k in ("ifSpeed", "ifHighSpeed")]
     else:
         found.append(entry("if_speed", S.if_speed(t("ifHighSpeed"), t("ifSpeed"))))
-    listed = F.trim(t("categories")) != ""
-    entries = F.array(*found).cast(_ENTRIES)
+    listed = t("categories").rlike(r"[^\x00-\x20]")
+    if cfg.categories_mode in ("RAW", "BOTH"):
+        found.append(entry("categories", F.when(listed, t("categories"))))
+    # names differ within a list; over the lists the first one counts, so it stands last
+    entries = [F.transform(F.array(*found), lambda e: entry(e["key"], S.label_value(e["value"])))]
     if cfg.categories_mode in ("PER_CATEGORY", "BOTH"):
         each = F.transform(categories(t("categories")), lambda n: entry(n, F.lit("true")))
-        entries = F.concat(entries, F.when(listed, each).otherwise(F.array()).cast(_ENTRIES))
-    if cfg.categories_mode in ("RAW", "BOTH"):
-        entries = F.concat(entries, F.array(entry("categories", F.when(listed, S.label_value(t("categories"))))).cast(_ENTRIES))
-    return df.withColumn("labels", map_of_first(entries)).withColumn("unparseable", F.col("_r").isNull()).drop("_r")
+        entries.insert(0, F.when(listed, each).otherwise(F.array()).cast(_ENTRIES))
+    entries.append(F.array(entry("__name__", S.metric_name(F.concat(F.lit(cfg.metric_prefix or ""), t("name"))))))
+    return df.withColumn("labels", map_of_last(F.concat(*entries))).withColumn("unparseable", F.col("_r").isNull()).drop("_r", "_node")
+
+
+def _pair(source: Column, number: Column) -> Column:
+    return F.when((F.coalesce(source, F.lit("")) != "") & (F.coalesce(number, F.lit("")) != ""), F.concat_ws(":", source, number))
+
+
+def narrowed(df: DataFrame, cfg: Config, matchers: list[Matcher]) -> DataFrame:
+    """The samples less those that matchers on the metric's name or the resource
+    identifier rule out, by the source tags alone: what stays is still to be
+    matched, but the rest is never mapped. Labels that the settings take away or
+    replace are not looked at."""
+    touched = [*cfg.rename, *[t for ts in cfg.copy.values() for t in ts], *cfg.rename.values()]
+    source = lambda k: F.coalesce(*[F.col(part)[k] for part in ("intrinsic", "meta", "external")])
+    made = {"__name__": S.metric_name(F.concat(F.lit(cfg.metric_prefix or ""), source("name"))), "resourceId": S.label_value(source("resourceId"))}
+    for m in matchers:
+        if m.label in made and m.label not in touched and not any(fnmatchcase(m.label, g) for g in parse_csv(cfg.labels_exclude)):
+            df = df.where(m.test(made[m.label]))
+    return df
 
 
 def attribute_labels(df: DataFrame) -> DataFrame:
@@ -177,15 +193,19 @@ def metadata(df: DataFrame, cfg: Config) -> DataFrame:
     return df.withColumn("denied", count).withColumn("labels", keep_first(F.col("labels"), made))
 
 
-def map_labels(df: DataFrame, cfg: Config | None = None) -> DataFrame:
-    """Samples (seq, intrinsic, meta, external, ...) to rows with `labels`."""
+def map_labels(df: DataFrame, cfg: Config | None = None, matchers: list[Matcher] | None = None) -> DataFrame:
+    """Samples (seq, intrinsic, meta, external, ...) to rows with `labels`; with
+    matchers, only those that match them, sorted out before the mapping as far as
+    the source tags tell."""
     cfg = (cfg or Config()).validate()
+    df = narrowed(df, cfg, matchers or [])
     df = attribute_labels(default_labels(drop_nameless(merge_tags(df)), cfg))
     df = include(exclude(df, parse_csv(cfg.labels_exclude)), parse_csv(cfg.labels_include))
     df = metadata(rename(copy(df, cfg.copy), cfg.rename), cfg)
     # a list of one, exploded: predicates on labels are not pushed below the
     # projection, where they would work the whole mapping out again
-    return df.withColumn("labels", F.explode_outer(F.array("labels")))
+    df = df.withColumn("labels", F.explode_outer(F.array("labels")))
+    return df.where(matching(F.col("labels"), matchers)) if matchers else df
 
 
 def valid(df: DataFrame) -> DataFrame:

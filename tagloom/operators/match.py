@@ -31,8 +31,11 @@ class Matcher:
         return "_" + out[1:] if out[:1].isdigit() else out
 
     def predicate(self, labels: Column) -> Column:
+        return self.test(labels[self.label])
+
+    def test(self, value: Column) -> Column:
         """An absent label is an empty one; patterns match from start to end."""
-        value = F.coalesce(labels[self.label], F.lit(""))
+        value = F.coalesce(value, F.lit(""))
         if self.op in ("=", "!="):
             found = value == self.value
         else:

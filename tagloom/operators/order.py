@@ -1,4 +1,5 @@
-"""Row numbers over a whole table, without moving it into one task."""
+"""How rows lie over tasks: spreading few input splits, and row numbers over a
+whole table without moving it into one task."""
 
 from __future__ import annotations
 
@@ -9,6 +10,14 @@ from pyspark.sql import functions as F
 SAMPLE = 64
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df over as many partitions as there are cores, if its input has fewer
+    (small files, or one row group): work on a row is then worth its move. Inputs
+    with more splits than cores are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def numbered(df: DataFrame, key: str, order: str | None = None, name: str = "ordinal") -> DataFrame:
     """df with `name`, the row's number from 1 in order of the column `order`
     (`key` if none), of which `key` is the leading part; nulls come first, ties

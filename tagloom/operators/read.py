@@ -9,6 +9,7 @@ from tagloom.config import DISCOVERY_BATCH, LOOKBACK_SECONDS, PHASE_TWO_CALLS
 from tagloom.operators.labels import EXTERNAL, META, keep_first
 from tagloom.operators.match import Matcher, matching
 from tagloom.operators.order import numbered
+from tagloom.operators.series import labels_of
 
 
 def lookback(df: DataFrame, now_ms: int, seconds: int = LOOKBACK_SECONDS) -> DataFrame:
@@ -22,7 +23,11 @@ def time_range(df: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
 
 def find_series(df: DataFrame, matchers: list[Matcher]) -> DataFrame:
     """(series_id, labels) of the matching series, each once."""
-    return df.where(matching(F.col("labels"), matchers)).groupBy("series_id").agg(F.first("labels").alias("labels"))
+    return _distinct(df.where(matching(F.col("labels"), matchers)))
+
+
+def _distinct(df: DataFrame) -> DataFrame:
+    return df.select("series_id").distinct().withColumn("labels", labels_of(F.col("series_id")))
 
 
 def label_values(df: DataFrame, label: str) -> DataFrame:
@@ -37,9 +42,11 @@ def find_series_two_phase(df: DataFrame, matchers: list[Matcher], compat: bool =
     others = [m for m in matchers if m.key != "resourceId"]
     base = df.where(matching(F.col("labels"), others)) if others else df
     own = [m for m in matchers if m.key == "resourceId"]
-    ids = label_values(base if compat or not own else base.where(matching(F.col("labels"), own)), "resourceId")
-    with_id = base.withColumn("value", F.col("labels")["resourceId"])
-    return with_id.join(ids, "value", "left_semi").groupBy("series_id").agg(F.first("labels").alias("labels"))
+    # distinct series come first, so that samples are mapped and shuffled once for both
+    # phases; the list of one keeps the second phase's filter above what they share
+    found = _distinct(base).withColumn("labels", F.explode_outer(F.array("labels")))
+    ids = label_values(found if compat or not own else found.where(matching(F.col("labels"), own)), "resourceId")
+    return found.withColumn("value", F.col("labels")["resourceId"]).join(ids, "value", "left_semi").drop("value")
 
 
 def discovery_batches(ids: DataFrame, size: int = DISCOVERY_BATCH) -> DataFrame:
@@ -84,6 +91,18 @@ def merge_ranges(df: DataFrame) -> DataFrame:
     return df.groupBy("ts_ms").agg(F.max_by("value", F.struct("series_ord", "idx")).alias("value"))
 
 
+def merged_range(df: DataFrame, asked: Column | None = None) -> DataFrame:
+    """One row (labels, points) for the series (series_ord, labels, idx, ts_ms,
+    value) of a range answer: the first series' labels, or those asked for if it
+    has none, and the merged points by time. An answer has RANGE_POINTS points a
+    series at most, so they fit a row."""
+    points = merge_ranges(df).agg(F.sort_array(F.collect_list(F.struct("ts_ms", "value"))).alias("points"))
+    first = df.agg(F.min_by("labels", "series_ord").alias("labels"))
+    empty = F.coalesce(F.size("labels"), F.lit(0)) < 1
+    labels = F.when(empty, asked).otherwise(F.col("labels")) if asked is not None else F.col("labels")
+    return first.select(labels.alias("labels"), F.lit(1).alias("_one")).join(F.broadcast(points.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def on_grid(df: DataFrame, start_ms: int, end_ms: int, step_ms: int, stale_ms: int = 300_000) -> DataFrame:
     """(series_id, ts_ms, value): at each step the latest sample of the window
     (t - stale, t]. A sample answers the steps up to its successor or the end of

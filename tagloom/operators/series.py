@@ -9,7 +9,7 @@ from tagloom.operators.order import numbered
 
 
 def sorted_entries(labels: Column) -> Column:
-    return F.array_sort(F.map_entries(labels))
+    return F.sort_array(F.map_entries(labels))
 
 
 def series_id(labels: Column) -> Column:
@@ -17,6 +17,13 @@ def series_id(labels: Column) -> Column:
     return F.to_json(F.map_from_entries(sorted_entries(labels)))
 
 
+def labels_of(series: Column) -> Column:
+    """The label set of a series_id. Aggregates are keyed by the text alone and
+    take the labels from it afterwards: a map in their buffers would make them
+    sort, and travel beside the text."""
+    return F.from_json(series, "map<string,string>")
+
+
 def series_key(labels: Column) -> Column:
     """The same for reading: name=value in order of names."""
     return F.array_join(F.transform(sorted_entries(labels), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
@@ -38,8 +45,8 @@ def last_write_wins(df: DataFrame, by: tuple[str, ...] = (), ts: str = "ts_ms")
     """(by, series_id, ts, value, labels, copies): of the samples of a series
     with equal timestamps the last to arrive. Aggregates combine before the
     shuffle, so a hot series sends one row for each timestamp and task."""
-    return df.groupBy(*by, "series_id", ts).agg(
-        F.max_by("value", "seq").alias("value"), F.max_by("labels", "seq").alias("labels"), F.count("*").alias("copies"))
+    kept = df.groupBy(*by, "series_id", ts).agg(F.max_by("value", "seq").alias("value"), F.count("*").alias("copies"))
+    return kept.withColumn("labels", labels_of(F.col("series_id")))
 
 
 def last_write_wins_by_lead(df: DataFrame, ts: str = "ts_ms") -> DataFrame:
@@ -69,8 +76,8 @@ def wire_series(df: DataFrame, ts: str = "ts_ms") -> DataFrame:
     wins; the logical form of a wire message."""
     kept = last_write_wins(drop_nonfinite(df), ts=ts)
     return kept.groupBy("series_id").agg(
-        F.first("labels").alias("labels"), F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts_ms"), "value"))).alias("samples"),
-        F.sum(F.col("copies") - 1).alias("duplicates"))
+        F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts_ms"), "value"))).alias("samples"),
+        F.sum(F.col("copies") - 1).alias("duplicates")).withColumn("labels", labels_of(F.col("series_id")))
 
 
 def symbols(series: DataFrame) -> DataFrame:

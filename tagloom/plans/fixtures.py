@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.labels import settle
+from tagloom.operators.labels import map_labels, settle
+from tagloom.operators.order import spread
 from tagloom.operators.series import with_series
 
 
@@ -15,7 +16,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     customer = read("customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read("nation").select("n_nationkey", "n_name")
-    df = read("events").join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
+    df = spread(read("events").select("event_id", "user_id", "event_type", "ts", "value", "props"), "event_id").join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     e, u = F.col("event_id"), F.col("user_id")
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -56,8 +57,6 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 89 == 0, F.lit("NaN").cast("double")).when(e % 89 == 1, F.lit("Infinity").cast("double")).otherwise(F.col("value")).alias("value"))
 
 
-def mapped(spark: SparkSession, sf_dir: str, cfg=None) -> DataFrame:
+def mapped(spark: SparkSession, sf_dir: str, cfg=None, matchers=None) -> DataFrame:
     """The samples' labels by the settings, with series_id."""
-    from tagloom.operators.labels import map_labels
-
-    return with_series(map_labels(samples(spark, sf_dir), cfg))
+    return with_series(map_labels(samples(spark, sf_dir), cfg, matchers))

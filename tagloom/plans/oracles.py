@@ -80,11 +80,15 @@ fin AS (SELECT series, ts_ms, arg_max(value, seq) AS value, any_value(location)
 _START, _END, _STEP, _STALE, _DAY = 1704067200000 + 9 * 86400000, 1704067200000 + 10 * 86400000, 600000, 6 * 3600000, 86400000
 
 
-def _rate(window: int, by: str) -> str:
-    return f"""SELECT {by}, w AS window_ms, sum(step) / ({window} / 1000.0) AS rate FROM (
-      SELECT *, CASE WHEN b IS NOT NULL THEN CASE WHEN value >= b THEN value - b ELSE value END END AS step FROM (
-        SELECT *, lag(value) OVER (PARTITION BY series, w ORDER BY ts_ms) AS b FROM (SELECT *, CAST(ceil(ts_ms / {window}.0) AS BIGINT) * {window} AS w FROM fin)))
-      GROUP BY series, w HAVING sum(step) IS NOT NULL"""
+def _rate(window: int, step: int) -> str:
+    """Increases between neighbouring samples that are both in (t - window, t]."""
+    return f"""SELECT series, any_value(job) AS job, any_value(name) AS name, t AS window_ms, sum(CASE WHEN value >= b THEN value - b ELSE value END) / ({window} / 1000.0) AS rate FROM (
+      SELECT *, unnest(range(CAST(ceil(ts_ms / {step}.0) AS BIGINT) * {step}, CAST(ceil(ts_ms / {step}.0) AS BIGINT) * {step} + {window}, {step})) AS t FROM (
+        SELECT *, lag(value) OVER s AS b, lag(ts_ms) OVER s AS b_ts FROM fin WINDOW s AS (PARTITION BY series ORDER BY ts_ms)))
+      WHERE b_ts > t - {window} GROUP BY series, t"""
+
+
+_INSTANT = f"(SELECT series, any_value(location) AS location, any_value(name) AS name, arg_max(value, ts_ms) AS value FROM fin WHERE ts_ms > {_END} - {_DAY} AND ts_ms <= {_END} GROUP BY series)"
 
 
 _SUMMARY = """count(*) FILTER (WHERE good > 0) AS series, CAST(sum(written) AS BIGINT) AS written, CAST(sum(bad) AS BIGINT) AS dropped_nonfinite, CAST(sum(good - written) AS BIGINT) AS dropped_duplicate
@@ -147,11 +151,12 @@ _BODY = {
         ASOF JOIN fin f ON g.series = f.series AND g.t >= f.ts_ms WHERE f.ts_ms > g.t - {_STALE}""",
     "fetch_range_samples": f"SELECT name, series, ts_ms, value FROM fin WHERE ts_ms BETWEEN {_START} AND {_END}",
     "instant_select": f"SELECT series, max(ts_ms) AS ts_ms, arg_max(value, ts_ms) AS value FROM fin WHERE ts_ms > {_END} - {_DAY} AND ts_ms <= {_END} AND name IN ('view', 'click') GROUP BY series",
-    "rate_5m": f"SELECT series, window_ms, CAST(round(rate * 1e6) AS BIGINT) AS micro_rate FROM ({_rate(300000, 'series')} UNION ALL {_rate(_DAY, 'series')})",
-    "sum_by_label": "SELECT coalesce(location, '') AS location, round(sum(value), 2) AS total FROM fin GROUP BY 1",
-    "count_series": "SELECT count(DISTINCT series) AS series FROM ns WHERE name = 'view'",
-    "failure_ratio": f"""SELECT a.job, round(a.total / b.total, 4) AS ratio FROM (SELECT job, sum(rate) AS total FROM ({_rate(_DAY, 'any_value(job) AS job, any_value(name) AS name')}) WHERE name = 'error' GROUP BY job) a
-        JOIN (SELECT job, sum(rate) AS total FROM ({_rate(_DAY, 'any_value(job) AS job, any_value(name) AS name')}) WHERE name = 'view' GROUP BY job) b USING (job)""",
+    "rate_5m": f"SELECT series, window_ms, CAST(round(rate * 1e6) AS BIGINT) AS micro_rate FROM ({_rate(300000, 60000)})",
+    "rate_day": f"SELECT series, window_ms, CAST(round(rate * 1e6) AS BIGINT) AS micro_rate FROM ({_rate(_DAY, _DAY // 4)})",
+    "sum_by_label": f"SELECT coalesce(location, '') AS location, round(sum(value), 2) AS total FROM {_INSTANT} GROUP BY 1",
+    "count_series": f"SELECT count(*) AS series FROM {_INSTANT} WHERE name = 'view'",
+    "failure_ratio": f"""SELECT job, round(sum(rate) FILTER (WHERE name = 'error') / sum(rate) FILTER (WHERE name = 'view'), 4) AS ratio
+        FROM ({_rate(_DAY, _DAY)}) WHERE window_ms = {_END} GROUP BY job HAVING count(*) FILTER (WHERE name = 'error') > 0 AND count(*) FILTER (WHERE name = 'view') > 0""",
     "series_by_job": "SELECT job, count(DISTINCT series) AS series FROM ns GROUP BY job",
     "category_membership": "SELECT seq, coalesce(cat, '') = 'ProductionSites,Routers' AS both, coalesce(cat, '') LIKE '%Server%' AS server FROM m",
     "overflow_drop_oldest": """SELECT segment, bytes, total <= 30000 OR segment = newest AS kept FROM (

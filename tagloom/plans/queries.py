@@ -34,8 +34,9 @@ def query(f):
     return f
 
 
-def _narrow(spark, d) -> DataFrame:
-    return mapped(spark, d, NARROW).withColumn("series", T.series_key(F.col("labels")))
+def _series() -> Column:
+    """A series for reading, from its canonical text."""
+    return T.series_key(T.labels_of(F.col("series_id"))).alias("series")
 
 
 def _tagged(spark, d) -> DataFrame:
@@ -55,18 +56,20 @@ def _rounded(c) -> Column:
 
 @query
 def series_group(spark, d):
-    return _narrow(spark, d).groupBy("series_id").agg(F.first("series").alias("series"), F.count("*").alias("n"), F.min("seq").alias("first_seq")).drop("series_id")
+    found = mapped(spark, d, NARROW).groupBy("series_id").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    return found.select(_series(), "n", "first_seq")
 
 
 @query
 def lww_dedup(spark, d):
-    kept = T.last_write_wins(T.drop_nonfinite(_narrow(spark, d)), ts="ts_day_ms")
-    return kept.select(T.series_key(F.col("labels")).alias("series"), "ts_day_ms", "value", "copies")
+    kept = T.last_write_wins(T.drop_nonfinite(mapped(spark, d, NARROW)), ts="ts_day_ms")
+    return kept.select(_series(), "ts_day_ms", "value", "copies")
 
 
 @query
 def lww_dedup_lead(spark, d):
-    return T.last_write_wins_by_lead(T.drop_nonfinite(_narrow(spark, d)), ts="ts_day_ms").select("series", "ts_day_ms", "value", "seq")
+    rows = T.drop_nonfinite(mapped(spark, d, NARROW)).select("series_id", "ts_day_ms", "value", "seq")
+    return T.last_write_wins_by_lead(rows, ts="ts_day_ms").select(_series(), "ts_day_ms", "value", "seq")
 
 
 @query
@@ -258,8 +261,8 @@ def batch_summary(spark, d):
 
 @query
 def batch_scoped_dedup(spark, d):
-    rows = T.drop_nonfinite(T.batch_number(_narrow(spark, d), 1000))
-    return T.last_write_wins(rows, by=("batch_id",), ts="ts_day_ms").select("batch_id", T.series_key(F.col("labels")).alias("series"), "ts_day_ms", "value", "copies")
+    rows = T.drop_nonfinite(T.batch_number(mapped(spark, d, NARROW), 1000))
+    return T.last_write_wins(rows, by=("batch_id",), ts="ts_day_ms").select("batch_id", _series(), "ts_day_ms", "value", "copies")
 
 
 @query
@@ -299,7 +302,7 @@ def unparseable_count(spark, d):
 # ---------------------------------------------------------------- reads
 
 def _matched(spark, d, *matchers):
-    return mapped(spark, d).where(matching(F.col("labels"), list(matchers))).select("seq")
+    return mapped(spark, d, matchers=list(matchers)).select("seq")
 
 
 @query
@@ -334,7 +337,8 @@ def lookback_filter(spark, d):
 
 @query
 def find_metrics_eq(spark, d):
-    return R.find_series(mapped(spark, d, NARROW), [Matcher("name", "=", "view")]).select(T.series_key(F.col("labels")).alias("series"))
+    asked = [Matcher("name", "=", "view")]
+    return R.find_series(mapped(spark, d, NARROW, asked), asked).select(_series())
 
 
 _WIDE = Config(labels_exclude="onms_*, if_*, mtype")
@@ -342,8 +346,8 @@ _WIDE = Config(labels_exclude="onms_*, if_*, mtype")
 
 @query
 def find_metrics_two_phase(spark, d):
-    found = R.find_series_two_phase(mapped(spark, d, _WIDE), [Matcher("resourceId", "=~", "snmp/.*"), Matcher("name", "=", "view")])
-    return found.select(T.series_key(F.col("labels")).alias("series"))
+    asked = [Matcher("resourceId", "=~", "snmp/.*"), Matcher("name", "=", "view")]
+    return R.find_series_two_phase(mapped(spark, d, _WIDE, asked[1:]), asked).select(_series())
 
 
 @query
@@ -376,27 +380,24 @@ def mtype_fallback(spark, d):
 
 
 def _finite_series(spark, d) -> DataFrame:
-    kept = T.last_write_wins(T.drop_nonfinite(mapped(spark, d, NARROW)))
-    return kept.withColumn("series", T.series_key(F.col("labels")))
+    return T.last_write_wins(T.drop_nonfinite(mapped(spark, d, NARROW)))
 
 
 @query
 def range_merge(spark, d):
-    rows = T.drop_nonfinite(_narrow(spark, d)).where(F.col("labels")["__name__"] == "click")
-    return R.merge_ranges(rows.select(F.col("series").alias("series_ord"), F.col("seq").alias("idx"), F.col("ts_day_ms").alias("ts_ms"), "value"))
+    rows = T.drop_nonfinite(mapped(spark, d, NARROW, [Matcher("name", "=", "click")]))
+    return R.merge_ranges(rows.select(_series().alias("series_ord"), F.col("seq").alias("idx"), F.col("ts_day_ms").alias("ts_ms"), "value"))
 
 
 @query
 def fetch_range_grid(spark, d):
-    rows = _finite_series(spark, d)
-    names = rows.select("series_id", "series").distinct()
-    return R.on_grid(rows, START, END, STEP, STALE).join(names, "series_id").select("series", "ts_ms", "value")
+    return R.on_grid(_finite_series(spark, d), START, END, STEP, STALE).select(_series(), "ts_ms", "value")
 
 
 @query
 def fetch_range_samples(spark, d):
     rows = R.time_range(_finite_series(spark, d), START, END)
-    return rows.select(F.col("labels")["__name__"].alias("name"), "series", "ts_ms", "value")
+    return rows.select(F.col("labels")["__name__"].alias("name"), _series(), "ts_ms", "value")
 
 
 @query
@@ -415,35 +416,47 @@ def parse_matrix_json(spark, d):
 
 @query
 def instant_select(spark, d):
-    rows = P.instant(_finite_series(spark, d), [Matcher("name", "=~", "view|click")], END, DAY)
-    return rows.select(T.series_key(F.col("labels")).alias("series"), "ts_ms", "value")
+    asked = [Matcher("name", "=~", "view|click")]
+    rows = P.instant(_matching_series(spark, d, asked), asked, END, DAY)
+    return rows.select(_series(), "ts_ms", "value")
 
 
-def _rates(spark, d, window_ms=DAY) -> DataFrame:
-    return P.rate(_finite_series(spark, d), window_ms)
+def _matching_series(spark, d, asked) -> DataFrame:
+    return T.last_write_wins(T.drop_nonfinite(mapped(spark, d, NARROW, asked)))
 
 
 @query
 def rate_5m(spark, d):
-    rows = P.rate(_finite_series(spark, d), 300_000).unionByName(_rates(spark, d))
-    return rows.select(T.series_key(F.col("labels")).alias("series"), "window_ms", F.round(F.col("rate") * 1e6).cast("bigint").alias("micro_rate"))
+    rows = P.rate(_finite_series(spark, d), 300_000, 60_000)
+    return rows.select(_series(), "window_ms", F.round(F.col("rate") * 1e6).cast("bigint").alias("micro_rate"))
+
+
+@query
+def rate_day(spark, d):
+    rows = P.rate(_finite_series(spark, d), DAY, DAY // 4)
+    return rows.select(_series(), "window_ms", F.round(F.col("rate") * 1e6).cast("bigint").alias("micro_rate"))
 
 
 @query
 def sum_by_label(spark, d):
-    return P.sum_by(_finite_series(spark, d), "location").select("location", F.round("total", 2).alias("total"))
+    rows = P.instant(_finite_series(spark, d), [], END, DAY)
+    return P.sum_by(rows, "location").select("location", F.round("total", 2).alias("total"))
 
 
 @query
 def count_series(spark, d):
-    return P.count_series(mapped(spark, d, NARROW), [Matcher("name", "=", "view")])
+    asked = [Matcher("name", "=", "view")]
+    return P.count_series(P.instant(_matching_series(spark, d, asked), asked, END, DAY))
 
 
 @query
 def failure_ratio(spark, d):
-    rows = P.sum_by(_rates(spark, d).withColumn("name", F.col("labels")["__name__"]), "job", "rate", ("name",))
-    part = lambda n: rows.where(F.col("name") == n).select("job", F.col("total").alias(n))
-    return part("error").join(part("view"), "job").select("job", F.round(F.col("error") / F.col("view"), 4).alias("ratio"))
+    name = F.col("labels")["__name__"]
+    rows = P.rate(_matching_series(spark, d, [Matcher("name", "=~", "error|view")]), DAY, at_ms=(END, END))
+    part = lambda n: F.when(name == n, F.col("rate"))
+    rows = rows.withColumn("bad", part("error")).withColumn("good", part("view"))
+    sums = rows.groupBy(F.col("labels")["job"].alias("job")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    return sums.where("bad is not null and good is not null").select("job", F.round(F.col("bad") / F.col("good"), 4).alias("ratio"))
 
 
 @query
