@@ -145,6 +145,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
+#: The first bytes of eight.
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
 class Words:
     """Words [^\x20\x09-\x0D]+ of some documents, A-Z lowered: `start`, `end`
     (byte positions in the slice), `doc` (row), `hash` (64 bits)."""
@@ -163,16 +167,22 @@ class Words:
         after[:-1] = solid[1:]
         self.end = np.flatnonzero(solid & (~after | edge[1:])) + 1
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
-        up, self._down = _powers(n + 1)
-        self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:n], out=self._sums[1:])
+        held = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        self._word = np.ndarray((n + 1,), "<u8", held, strides=(1,))
         self.hash = self.span_hash(self.start, self.end)
         #: first word of each document, and the end
         self.first = np.searchsorted(self.doc, np.arange(rows + 1))
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self._sums[end] - self._sums[start]) * self._down[start]
-        return mix(h + (end - start).astype(np.uint64) * _ODD)
+        """Hashes of spans of a byte at least: of the length and the sum of its
+        blocks of eight bytes, each mixed with its place."""
+        size = end - start
+        blocks = (size + 7) >> 3
+        first = np.cumsum(blocks) - blocks
+        place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+        part = self._word[np.repeat(start, blocks) + 8 * place] & _MASK[np.minimum(np.repeat(size, blocks) - 8 * place, 8)]
+        part = mix(part + mix((place + 1).astype(np.uint64) * _ODD))
+        return mix((np.add.reduceat(part, first) if len(first) else part) + size.astype(np.uint64) * _ODD)
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, document, first word) of every run of `width` words; documents

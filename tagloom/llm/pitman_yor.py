@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -12,15 +13,16 @@ from pyspark.sql import functions as F
 from tagloom.llm.chunks import _LEAST, answers, bucket_rows, bucketed, buckets_for, by_bucket, chunk_table, chunks_of, rows_batch
 from tagloom.llm.common import Words, materialize, parts_of, slices, tidy
 
-#: Contexts (hashes of preceding words) that one row of an exchange holds at most.
-CONTEXTS = 1 << 12
+#: Contexts that one row of an exchange holds at most.
+CONTEXTS = 1 << 14
 #: Discounts and strengths of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.75, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 10.0
-#: Sweeps before anything is kept, and samples that are averaged.
+#: Sweeps before a round's samples, and samples that the scores are averaged over.
 BURN, SAMPLES = 2, 3
-#: Customers of a dish up to which its tables are drawn exactly.
-EXACT = 64
+#: Customers of a dish up to which its tables are drawn from the listed law, and
+#: up to which the seating numbers are tabled; steps of the chain beyond.
+LISTED, TABLED, STEPS = 64, 1024, 4
 CHUNK = 9 << 20
 BUCKET = 4 << 20
 END = np.uint64(0x3C6EF372FE94F82B)
@@ -28,20 +30,88 @@ END = np.uint64(0x3C6EF372FE94F82B)
 
 # ------------------------------------------------------------------ seating
 
-def _stirling(discount: float) -> np.ndarray:
-    """log S[c, t]: ways to seat c customers of a dish at t tables, each weighed
-    by its discounted seating probabilities; S[c+1,t] = S[c,t-1] + (c - d t) S[c,t]."""
-    s = np.full((EXACT + 1, EXACT + 1), -np.inf)
-    s[1, 1] = 0.0
-    for c in range(1, EXACT):
-        t = np.arange(1, c + 2)
-        with np.errstate(divide="ignore"):
-            stay = np.where(t <= c, np.log(np.maximum(c - discount * t, 1e-300)) + s[c, t], -np.inf)
-        s[c + 1, t] = np.logaddexp(s[c, t - 1], stay)
-    return s
-
-
-_STIRLING: dict[float, np.ndarray] = {}
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """log of the gamma function, for positive x."""
+    y = x + 8
+    low = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
+    r = 1 / (y * y)
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / y - np.log(low)
+
+
+class Seatings:
+    """log S(c, t): ways to seat c customers of a dish at t tables, each weighed
+    by its discounted seating probabilities; S(c+1, t) = S(c, t-1) + (c - d t) S(c, t).
+
+    Up to TABLED customers by this rule. Beyond, with few tables (t below some
+    c^d) by the finite sum over j of (-1)^j C(t, j) Gamma(c - j d) / Gamma(-j d),
+    which then ends early; with many by the saddle point of the generating
+    function ((1 - (1 - z)^d) / d)^t, to about a hundredth."""
+
+    FEW, TERMS = 2.2, 128
+
+    def __init__(self, discount: float):
+        self.d = discount
+        s = np.full((TABLED + 1, TABLED + 1), -np.inf)
+        s[1, 1] = 0.0
+        for c in range(1, TABLED):
+            t = np.arange(1, c + 2)
+            with np.errstate(divide="ignore"):
+                stay = np.where(t <= c, np.log(np.maximum(c - discount * t, 1e-300)) + s[c, t], -np.inf)
+            s[c + 1, t] = np.logaddexp(s[c, t - 1], stay)
+        self.table = s
+        j = np.arange(1, self.TERMS + 1)
+        # -(-1)^j Gamma(1 + j d) sin(pi j d) / pi / j!, from 1 / Gamma(-x) = -Gamma(1 + x) sin(pi x) / pi
+        self.sign = -((-1.0) ** j) * np.sin(np.pi * j * discount)
+        self.sign[np.abs(self.sign) < 1e-9] = 0
+        self.fixed = np.array([math.lgamma(1 + k * discount) - math.lgamma(1 + k) - math.log(math.pi) for k in j]) + np.log(np.maximum(np.abs(self.sign), 1e-300))
+
+    def log(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        out = np.empty(len(c))
+        small = c <= TABLED
+        out[small] = self.table[c[small].astype(int), t[small].astype(int)]
+        few = ~small & (t < self.FEW * c**self.d)
+        out[few] = self._sum(c[few], t[few])
+        many = ~small & ~few
+        out[many] = self._saddle(c[many], t[many])
+        return out
+
+    def _sum(self, c, t):
+        total, top = np.zeros(len(c)), log_gamma(c - self.d)
+        alive = np.arange(len(c))
+        for k in range(1, self.TERMS + 1):
+            alive = alive[(t[alive] >= k) & (self.d * k < c[alive])]
+            if not len(alive):
+                break
+            n, m = t[alive], c[alive]
+            # t! / (t - k)! stands for the binomial's upper part
+            size = self.fixed[k - 1] + log_gamma(n + 1) - log_gamma(n - k + 1) + log_gamma(m - self.d * k) - top[alive]
+            term = np.sign(self.sign[k - 1]) * np.exp(size)
+            total[alive] += term
+            if k > 4 and self.sign[k - 1]:
+                alive = alive[np.exp(size) > 1e-13 * np.abs(total[alive])]
+        return np.log(np.maximum(total, 1e-300)) + top - t * math.log(self.d) - log_gamma(t + 1)
+
+    def _saddle(self, c, t):
+        d, ratio = self.d, np.maximum(c / t, 1 + 1e-9)
+        low, high = np.full(len(c), -60.0), np.full(len(c), -1e-12)
+        for _ in range(60):
+            x = (low + high) / 2
+            u = np.exp(x)
+            over = d * -np.expm1(x) * u ** (d - 1) > ratio * -np.expm1(d * x)
+            low, high = np.where(over, x, low), np.where(over, high, x)
+        u, z, g = np.exp(x), -np.expm1(x), -np.expm1(d * x) / d
+        mean = z * u ** (d - 1) / g
+        spread = mean + z * z * (1 - d) * u ** (d - 2) / g - mean * mean
+        return log_gamma(c + 1) - log_gamma(t + 1) + t * np.log(g) - c * np.log(z) - 0.5 * np.log(2 * np.pi * t * np.maximum(spread, 1e-12))
+
+
+_SEATINGS: dict[float, Seatings] = {}
+
+
+def seatings(discount: float) -> Seatings:
+    if discount not in _SEATINGS:
+        _SEATINGS[discount] = Seatings(discount)
+    return _SEATINGS[discount]
 
 
 def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.ndarray, discount: float, strength: float) -> np.ndarray:
@@ -49,73 +119,106 @@ def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.n
     seated anew, given the tables of the other dishes (`others`) and the parent's
     probability of the dish (`new_weight`). The seating of a dish matters through
     its number of tables alone, whose law is the product of the seating weights
-    S[c, t], of opening t tables and of the parent serving the dish t times. It
-    is drawn exactly for up to EXACT customers; beyond that the rest is seated
-    in order behind the first EXACT, in groups that grow by a quarter."""
-    log_s = _STIRLING.setdefault(discount, _stirling(discount))
+    S(c, t), of opening t tables and of the parent serving the dish t times.
+
+    The law is the same for any number of customers. Up to LISTED it is written
+    out and drawn from; beyond, its mode and width are found by halving, and an
+    independence chain of STEPS proposals from a logistic law of that place and
+    width, accepted by the exact ratio of the weights, draws from it."""
+    s = seatings(discount)
     tables = np.ones(len(customers))
-    head = np.minimum(customers, EXACT)
-    order = np.argsort(head, kind="stable")
-    cut = np.searchsorted(head[order], np.arange(EXACT + 2))
+    order = np.argsort(customers, kind="stable")
+    cut = np.searchsorted(customers[order], np.arange(LISTED + 2))
     log_new = np.log(new_weight)
-    for c in range(2, EXACT + 1):
+    for c in range(2, LISTED + 1):
         i = order[cut[c] : cut[c + 1]]
         for part in np.array_split(i, max(1, len(i) * c >> 20)) if len(i) else []:
             t = np.arange(1, c + 1)
             opened = np.cumsum(np.log(strength + discount * (others[part, None] + np.arange(c)[None, :])), axis=1)
-            weight = log_s[c, 1 : c + 1] + opened + t * log_new[part, None]
+            weight = s.table[c, 1 : c + 1] + opened + t * log_new[part, None]
             weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
             tables[part] = 1 + (weight < rng.random(len(part))[:, None] * weight[:, -1:]).sum(axis=1)
-    big = np.flatnonzero(customers > EXACT)
-    seated = np.full(len(big), float(EXACT))
-    while len(big):
-        group = np.minimum(np.maximum(1, seated // 4), customers[big] - seated)
-        opens = (strength + discount * (others[big] + tables[big])) * new_weight[big]
-        p = opens / (opens + seated + group / 2 - discount * tables[big])
-        tables[big] += rng.binomial(group.astype(np.int64), np.clip(p, 0, 1))
-        seated += group
-        left = seated < customers[big]
-        big, seated = big[left], seated[left]
+    big = order[cut[LISTED + 1] :]
+    if len(big):
+        tables[big] = _chain(rng, s, customers[big], log_new[big], strength / discount + others[big])
     return tables
 
 
+def _chain(rng, s: Seatings, c: np.ndarray, log_new: np.ndarray, opening: np.ndarray) -> np.ndarray:
+    base = log_gamma(opening)
+    law = lambda t: s.log(c, t) + log_gamma(opening + t) - base + t * (log_new + math.log(s.d))
+    low, high = np.ones(len(c)), c.copy()
+    while (low < high).any():
+        middle = np.floor((low + high) / 2)
+        rising = law(np.minimum(middle + 1, c)) > law(middle)
+        low, high = np.where(rising & (low < high), middle + 1, low), np.where(~rising & (low < high), middle, high)
+    mode, top = low, law(low)
+    bend = 2 * top - law(np.minimum(mode + 1, c)) - law(np.maximum(mode - 1, 1))
+    width = np.clip(0.7 / np.sqrt(np.clip(bend, 1e-9, None)), 0.5, np.maximum(2.0, 2 * np.sqrt(mode) + 1))
+    edge = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+    mass = lambda t: np.log(np.maximum(edge((t + 0.5 - mode) / width) - edge((t - 0.5 - mode) / width), 1e-300))
+    t, weight = mode, top - mass(mode)
+    for _ in range(STEPS):
+        u = rng.random(len(c))
+        found = np.round(mode + width * np.log(np.maximum(u, 1e-300) / np.maximum(1 - u, 1e-300)))
+        inside = (found >= 1) & (found <= c)
+        found = np.where(inside, found, t)
+        other = law(found) - mass(found)
+        taken = inside & (np.log(np.maximum(rng.random(len(c)), 1e-300)) < other - weight)
+        t, weight = np.where(taken, found, t), np.where(taken, other, weight)
+    return t
+
+
+# ------------------------------------------------------------------ blobs
+
 def _packed(*arrays: np.ndarray) -> bytes:
-    raw = b"".join(a.tobytes() for a in arrays)
+    """Arrays in a compressed blob, each by the bytes' places: of ascending or
+    small numbers most of the upper ones are zeros."""
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"" for a in arrays)
     return np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _raw(blob: bytes) -> bytes:
-    return pa.decompress(blob[8:], decompressed_size=int(np.frombuffer(blob, "<i8", 1)[0]), codec="zstd", asbytes=True)
+class _Reader:
+    """The arrays of a blob, one after the other."""
+
+    def __init__(self, blob: bytes):
+        size = int(np.frombuffer(blob, "<i8", 1)[0])
+        self.raw, self.at = pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True), 0
+
+    def take(self, kind: str, n: int) -> np.ndarray:
+        width = np.dtype(kind).itemsize
+        out = np.frombuffer(self.raw, np.uint8, n * width, self.at).reshape(width, n).T
+        self.at += n * width
+        return np.ascontiguousarray(out).view(kind).reshape(n)
 
 
 class Bucket:
-    """The dishes (words) of a hash bucket: `word`, and the pairs (word, context)
-    with their customers, words ascending, contexts ascending within. `context` is
-    a place in `contexts`, the hashes of all preceding words here, ascending.
+    """The dishes (words) of a hash bucket, by rank, and the pairs (word, context)
+    with their customers: words ascending, contexts ascending within. `context` is
+    a place in `contexts`, the numbers of all preceding words here, ascending.
     Pairs of held-out documents alone have no customers."""
 
     def __init__(self, blob: bytes):
-        raw = _raw(blob)
-        n, m, k = (int(x) for x in np.frombuffer(raw, "<i8", 3))
-        self.word = np.frombuffer(raw, "<u8", n, 24)
-        self.size = np.frombuffer(raw, "<i8", n, 24 + 8 * n)
-        self.contexts = np.frombuffer(raw, "<u8", k, 24 + 16 * n)
-        self.count = np.frombuffer(raw, "<i8", m, 24 + 16 * n + 8 * k).astype(np.float64)
-        self.context = np.frombuffer(raw, "<u4", m, 24 + 16 * n + 8 * k + 8 * m).astype(np.int64)
+        r = _Reader(blob)
+        n, m, k = (int(x) for x in r.take("<i8", 3))
+        self.size = r.take("<i8", n)
+        self.contexts = np.cumsum(r.take("<u8", k), dtype=np.uint64)
+        self.count = r.take("<i8", m).astype(np.float64)
+        self.context = r.take("<u4", m).astype(np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.of = np.repeat(np.arange(n), self.size)
 
     @staticmethod
-    def pack(word, size, count, context, contexts=np.zeros(0, np.uint64)) -> bytes:
-        return _packed(np.array([len(word), len(context), len(contexts)], "<i8"), word.astype("<u8"), size.astype("<i8"), contexts.astype("<u8"), count.astype("<i8"), context.astype("<u4"))
+    def pack(size, count, context, contexts) -> bytes:
+        head = np.array([len(size), len(context), len(contexts)], "<i8")
+        return _packed(head, size.astype("<i8"), np.diff(contexts.astype("<u8"), prepend=np.uint64(0)), count.astype("<i8"), context.astype("<u4"))
 
     def by_context(self, values) -> np.ndarray:
         """Sums of the pairs' values for each of `contexts`."""
         return np.bincount(self.context, values, minlength=len(self.contexts))
 
-    def words(self) -> np.ndarray:
-        """Customers of each word."""
-        return np.add.reduceat(self.count, self.first) if len(self.first) else np.zeros(0)
+    def by_word(self, values) -> np.ndarray:
+        return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0)
 
 
 class Totals:
@@ -137,31 +240,37 @@ class Totals:
         return (count - DISCOUNT * tables + back) / (STRENGTH + self.customers[context])
 
 
-def sample(number: int, bucket: Bucket, totals: Totals, burn: int, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Average tables of the pairs, customers and tables of the root's dishes,
-    over `samples` sweeps after `burn`. Seeded by the bucket: a task that runs
-    again draws the same. Restaurants that reach over buckets count the tables
-    elsewhere as they were in the round before."""
-    rng = np.random.default_rng([20240229, number])
-    n, m = len(bucket.word), len(bucket.count)
+def opening(bucket: Bucket) -> tuple[np.ndarray, np.ndarray]:
+    """The first seating: one table for each pair and each word."""
     tables = np.minimum(bucket.count, 1)
-    root_customers = np.add.reduceat(tables, bucket.first) if n else np.zeros(0)
-    root_tables = np.minimum(root_customers, 1)
-    kept = [np.zeros(m), np.zeros(n), np.zeros(n)]
+    return tables, np.minimum(bucket.by_word(tables), 1)
+
+
+def sample(seed: tuple[int, int], bucket: Bucket, totals: Totals, state: tuple[np.ndarray, np.ndarray], burn: int, samples: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(tables of the pairs, customers and tables of the root's dishes) of each of
+    `samples` sweeps after `burn`, going on from the seating `state` (tables of
+    pairs and of words) that the totals hold. Seeded by bucket and round: a task
+    that runs again draws the same. Restaurants that reach over buckets count the
+    tables elsewhere as they were when the round began."""
+    rng = np.random.default_rng([20240229, *seed])
+    tables, root_tables = state[0].copy(), state[1].copy()
+    root_customers = bucket.by_word(tables)
+    away = totals.tables - bucket.by_context(tables)
+    away_customers, away_tables = totals.root_customers - root_customers.sum(), totals.root_tables - root_tables.sum()
+    more, kept = np.flatnonzero(bucket.count > 1), []
     for sweep in range(burn + samples):
-        p = totals.root(root_customers, root_tables)
-        more = np.flatnonzero(bucket.count > 1)
-        others = np.maximum(0, totals.tables[bucket.context[more]] - tables[more])
+        now = Totals(totals.customers, None, away_customers + root_customers.sum(), away_tables + root_tables.sum(), totals.tokens, totals.words)
+        p = now.root(root_customers, root_tables)
+        others = np.maximum(0, (away + bucket.by_context(tables))[bucket.context[more]] - tables[more])
         tables[more] = draw_tables(rng, bucket.count[more], p[bucket.of[more]], others, DISCOUNT, STRENGTH)
-        root_customers = np.add.reduceat(tables, bucket.first) if n else root_customers
-        more = np.flatnonzero(root_customers > 1)
+        root_customers = bucket.by_word(tables)
+        some = np.flatnonzero(root_customers > 1)
+        others = np.maximum(0.0, away_tables + root_tables.sum() - root_tables[some])
         root_tables = np.minimum(root_customers, 1)
-        base = np.full(len(more), 1 / (totals.words + 1))
-        root_tables[more] = draw_tables(rng, root_customers[more], base, np.full(len(more), max(0.0, totals.root_tables - 1)), ROOT_DISCOUNT, ROOT_STRENGTH)
+        root_tables[some] = draw_tables(rng, root_customers[some], np.full(len(some), 1 / (totals.words + 1)), others, ROOT_DISCOUNT, ROOT_STRENGTH)
         if sweep >= burn:
-            for k, v in zip(kept, (tables, root_customers, root_tables), strict=True):
-                k += v / samples
-    return kept[0], kept[1], kept[2]
+            kept.append((tables.copy(), root_customers, root_tables))
+    return kept
 
 
 # ------------------------------------------------------------------ tokens
@@ -172,10 +281,9 @@ def held_out_id(doc_id: int) -> bool:
 
 class Tokens:
     """A chunk's tokens, an END after each document: `word` (hash), `doc`; its
-    distinct words by hash, and distinct pairs by word and preceding word with
-    `index`, the pair of every token."""
+    distinct `words` by hash with training `counts`, and `which` of them a token is."""
 
-    def __init__(self, chunk):
+    def __init__(self, chunk, bits: int):
         parts, docs = [], []
         for a, b in slices(chunk.offsets):
             w = Words(chunk.data[chunk.offsets[a] : chunk.offsets[b]], chunk.offsets[a : b + 1] - chunk.offsets[a])
@@ -184,33 +292,59 @@ class Tokens:
         hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         rows = len(chunk.ids)
-        n = np.bincount(doc, minlength=rows)
-        self.word = np.full(len(hashes) + rows, END)
-        self.word[np.arange(len(hashes)) + doc] = hashes
-        self.sizes = n + 1
+        word = np.full(len(hashes) + rows, END)
+        word[np.arange(len(hashes)) + doc] = hashes
+        self.sizes = np.bincount(doc, minlength=rows) + 1
         self.doc = np.repeat(np.arange(rows), self.sizes)
-        self.words, which = np.unique(self.word, return_inverse=True)
-        which = which.astype(np.int64)
-        before = np.concatenate([np.searchsorted(self.words, [END]), which[:-1]]) if rows else which
-        pairs, self.index = np.unique((which << 32) | before, return_inverse=True)
-        self.pair_word, self.pair_context = pairs >> 32, self.words[pairs & 0xFFFFFFFF]
+        self.words, which = np.unique(word, return_inverse=True)
+        self.which = which.astype(np.int64)
         self.held_out = np.array([held_out_id(int(i)) for i in chunk.ids], bool)
-        self.counts = np.bincount(self.index, ~self.held_out[self.doc], minlength=len(pairs)).astype(np.int64)
-
-    def cuts(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where each bucket's words and pairs begin."""
-        words = np.searchsorted((self.words >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
-        return words, np.searchsorted(self.pair_word, words)
-
-
-def _question(words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> bytes:
-    return _packed(np.array([len(words), len(contexts)], "<i8"), words.astype("<u8"), contexts.astype("<u8"), sizes.astype("<u4"), counts.astype("<u4"))
-
-
-def _asked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    raw = _raw(blob)
-    n, m = (int(x) for x in np.frombuffer(raw, "<i8", 2))
-    return np.frombuffer(raw, "<u8", n, 16), np.frombuffer(raw, "<u4", n, 16 + 8 * (n + m)).astype(np.int64), np.frombuffer(raw, "<u8", m, 16 + 8 * n), np.frombuffer(raw, "<u4", m, 16 + 12 * n + 8 * m).astype(np.int64)
+        self.learnt = ~self.held_out[self.doc]
+        self.counts = np.bincount(self.which, self.learnt, minlength=len(self.words)).astype(np.int64)
+        self.bucket = (self.words >> np.uint64(64 - bits)).astype(np.int64)
+        #: where each bucket's words begin
+        self.cut = np.searchsorted(self.bucket, np.arange((1 << bits) + 1))
+
+
+class Pairs:
+    """The distinct pairs of a chunk, by word and number of the preceding word: a
+    word's number is its bucket and its rank there. `index` is the pair of every
+    token."""
+
+    def __init__(self, t: Tokens, told: list[dict]):
+        self.rank, self.known = np.zeros(len(t.words), np.int64), np.zeros(len(t.words), np.int64)
+        for x in told or []:
+            a, b = t.cut[x["bucket"]], t.cut[x["bucket"] + 1]
+            r = _Reader(x["blob"])
+            self.rank[a:b] = np.cumsum(r.take("<u4", b - a), dtype=np.int64)
+            self.known[a:b] = r.take("<i8", b - a)
+        # words are in order of their hashes, and so are their numbers
+        before = np.concatenate([np.searchsorted(t.words, [END]), t.which[:-1]]) if len(t.which) else t.which
+        pairs, self.index = np.unique((t.which << 32) | before, return_inverse=True)
+        self.word, context = pairs >> 32, pairs & 0xFFFFFFFF
+        self.context = (t.bucket[context].astype(np.uint64) << np.uint64(32)) | self.rank[context].astype(np.uint64)
+        self.counts = np.bincount(self.index, t.learnt, minlength=len(pairs)).astype(np.int64)
+        self.cut = np.searchsorted(self.word, t.cut)
+
+
+def _words_of(rows: list[dict]) -> list[bytes]:
+    """For each question (words, training counts) of a bucket: the words' ranks
+    among all words of the bucket, as steps, and their counts everywhere."""
+    words, counts = [], []
+    for row in rows:
+        r = _Reader(row["blob"])
+        n = int(r.take("<i8", 1)[0])
+        words.append(np.cumsum(r.take("<u8", n), dtype=np.uint64))
+        counts.append(r.take("<i8", n))
+    every, rank = np.unique(np.concatenate(words), return_inverse=True)
+    total = np.bincount(rank, np.concatenate(counts), minlength=len(every)).astype("<i8")
+    cuts = np.cumsum([len(w) for w in words])[:-1]
+    return [_packed(np.diff(x, prepend=0).astype("<u4"), total[x]) for x in np.split(rank, cuts)]
+
+
+def _question(rank, sizes, contexts, counts) -> bytes:
+    head = np.array([len(rank), len(contexts)], "<i8")
+    return _packed(head, np.diff(rank, prepend=0).astype("<u4"), sizes.astype("<i8"), contexts.astype("<u8"), counts.astype("<i8"))
 
 
 def _merged(questions: list[bytes]) -> tuple[bytes, list[bytes]]:
@@ -218,104 +352,149 @@ def _merged(questions: list[bytes]) -> tuple[bytes, list[bytes]]:
     of each question: ascending places among them, as steps."""
     word, context, count = [], [], []
     for q in questions:
-        w, size, c, n = _asked(q)
-        word.append(np.repeat(w, size))
-        context.append(c)
-        count.append(n)
+        r = _Reader(q)
+        n, m = (int(x) for x in r.take("<i8", 2))
+        rank = np.cumsum(r.take("<u4", n), dtype=np.int64)
+        word.append(np.repeat(rank, r.take("<i8", n)))
+        context.append(r.take("<u8", m))
+        count.append(r.take("<i8", m))
     ends = np.cumsum([len(c) for c in context])
-    words, which = np.unique(np.concatenate(word), return_inverse=True)
+    word = np.concatenate(word)
     contexts, at = np.unique(np.concatenate(context), return_inverse=True)
-    pairs, index = np.unique((which.astype(np.int64) << 32) | at, return_inverse=True)
+    pairs, index = np.unique((word << 32) | at, return_inverse=True)
     counts = np.bincount(index, np.concatenate(count), minlength=len(pairs)).astype(np.int64)
-    merged = Bucket.pack(words, np.bincount(pairs >> 32, minlength=len(words)), counts, pairs & 0xFFFFFFFF, contexts)
+    # every word of the bucket stands in some question: ranks have no gaps
+    merged = Bucket.pack(np.bincount(pairs >> 32), counts, pairs & 0xFFFFFFFF, contexts)
     return merged, [_packed(np.diff(x, prepend=0).astype("<u4")) for x in np.split(index, ends[:-1])]
 
 
 # ------------------------------------------------------------------ the job
 
-def _exchange(rows: DataFrame, parts: int, per_bucket) -> tuple[DataFrame, np.ndarray]:
+def _exchange(rows: DataFrame, bits: int, per_bucket) -> tuple[DataFrame, np.ndarray]:
     """Totals of the context restaurants over all buckets: per_bucket(row, Bucket)
-    gives the tables of the pairs and four numbers. Each context belongs to one of
-    `parts` hash ranges, which adds up what the buckets send and gives each its
-    own contexts' customers and tables back. Returns (bucket, totals), and the sum
-    of the four numbers, which is all that the driver sees."""
+    gives the tables of the pairs in some samples, the sums of the root's customers
+    and tables in each, two further numbers, and the bucket's seating. Each context
+    belongs to a range of buckets' numbers, which adds up what the buckets send and
+    gives each its own contexts' customers and tables back. Returns (bucket,
+    totals: its seating and the pieces in order), and the sum of the numbers, which
+    is all that the driver sees."""
+    parts = max(16, 1 << bits >> 5)
+    shift = np.uint64(32 + bits - (parts.bit_length() - 1)) if parts <= 1 << bits else np.uint64(32)
 
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Bucket(row["merged"])
-                tables, rest = per_bucket(row, b)
-                customers, tables = b.by_context(b.count), b.by_context(tables)
-                part = (b.contexts >> np.uint64(65 - parts.bit_length())).astype(np.int64)
-                cut = np.searchsorted(part, np.arange(parts + 1))
-                to, at, blobs = [parts], [0], [_packed(np.asarray(rest, "<f8"))]
+                samples, rest, state = per_bucket(row, b)
+                sums = [b.by_context(v).astype("<i8") for v in (b.count, *samples)]
+                cut = np.searchsorted((b.contexts >> shift).astype(np.int64), np.arange(parts + 1))
+                to, at, blobs = [parts, row["bucket"] % parts], [0, -1], [_packed(np.asarray(rest, "<f8")), _packed(*[x.astype("<i8") for x in state])]
                 for p in range(parts):
                     for i in range(cut[p], cut[p + 1], CONTEXTS):
                         own = slice(i, min(i + CONTEXTS, cut[p + 1]))
                         to.append(p)
                         at.append(i)
-                        blobs.append(_packed(b.contexts[own], customers[own], tables[own]))
+                        contexts = b.contexts[own]
+                        blobs.append(_packed(np.array([len(contexts), len(sums)], "<i8"), np.diff(contexts, prepend=np.uint64(0)), *[s[own] for s in sums]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["bucket"]] * len(to)), pa.array(to), pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["chunk", "bucket", "at", "blob"])
 
     def add(batches):
         for part, got in bucket_rows(batches):
-            raw = [np.frombuffer(_raw(r["blob"]), "<f8") for r in got]
             if part == parts:
-                to, at, blobs = [-1], [0], [_packed(np.sum(raw, axis=0))]
+                raw = [_Reader(r["blob"]) for r in got]
+                to, at, blobs = [-1], [0], [_packed(np.sum([r.take("<f8", len(r.raw) // 8) for r in raw], axis=0))]
             else:
-                raw = [r.reshape(3, -1) for r in raw]
-                contexts, which = np.unique(np.concatenate([r[0].view(np.uint64) for r in raw]), return_inverse=True)
-                sums = [np.bincount(which, np.concatenate([r[i] for r in raw]), minlength=len(contexts)) for i in (1, 2)]
-                places = np.split(which, np.cumsum([r.shape[1] for r in raw])[:-1])
-                to, at, blobs = [r["chunk"] for r in got], [r["at"] for r in got], [_packed(sums[0][x], sums[1][x]) for x in places]
+                held, got = [r for r in got if r["at"] < 0], [r for r in got if r["at"] >= 0]
+                to, at, blobs = [r["chunk"] for r in held], [-1] * len(held), [r["blob"] for r in held]
+                contexts, sums = [], []
+                for row in got:
+                    r = _Reader(row["blob"])
+                    n, k = (int(x) for x in r.take("<i8", 2))
+                    contexts.append(np.cumsum(r.take("<u8", n), dtype=np.uint64))
+                    sums.append([r.take("<i8", n) for _ in range(k)])
+                if got:
+                    every, which = np.unique(np.concatenate(contexts), return_inverse=True)
+                    total = [np.bincount(which, np.concatenate([s[i] for s in sums]), minlength=len(every)).astype("<i8") for i in range(len(sums[0]))]
+                    for row, x in zip(got, np.split(which, np.cumsum([len(c) for c in contexts])[:-1]), strict=True):
+                        to.append(row["chunk"])
+                        at.append(row["at"])
+                        blobs.append(_packed(np.array([len(x), len(total)], "<i8"), *[t[x] for t in total]))
             yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "at", "blob"])
 
     sent = rows.mapInArrow(tidy(send), "chunk long, bucket long, at long, blob binary")
     found = materialize(by_bucket(sent).mapInArrow(tidy(add), "bucket long, at long, blob binary"), "totals")
-    rest = [np.frombuffer(_raw(bytes(r["blob"])), "<f8") for r in found.where("bucket < 0").collect()]  # one row
+    rest = [_Reader(bytes(r["blob"])) for r in found.where("bucket < 0").collect()]  # one row
     given = found.where("bucket >= 0").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("at", "blob"))).alias("totals"))
-    return given, rest[0] if rest else np.zeros(4)
+    return given, rest[0].take("<f8", len(rest[0].raw) // 8) if rest else np.zeros(2 + 2 * SAMPLES)
 
 
-def _totals(pieces: list[dict], *rest: float) -> Totals:
-    """A bucket's view of an exchange's totals, in the order of its contexts."""
-    both = np.concatenate([np.frombuffer(_raw(x["blob"]), "<f8").reshape(2, -1) for x in pieces], axis=1)
-    return Totals(both[0], both[1], *rest)
+def _totals(pieces: list[dict], b: Bucket) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, list[np.ndarray]]:
+    """A bucket's seating, and the customers and tables (in each sample) of its
+    contexts."""
+    r = _Reader(pieces[0]["blob"])
+    state = r.take("<i8", len(b.count)).astype(np.float64), r.take("<i8", len(b.size)).astype(np.float64)
+    sums = []
+    for x in pieces[1:]:
+        r = _Reader(x["blob"])
+        n, k = (int(y) for y in r.take("<i8", 2))
+        sums.append([r.take("<i8", n).astype(np.float64) for _ in range(k)])
+    customers, *tables = (np.concatenate(x) for x in zip(*sums, strict=True))
+    return state, customers, tables
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK, bucket_bytes: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     each row of docs (doc_id, text); the model learns from the rows outside
     held_out (crc32(doc_id as text) mod 7 is 2).
 
-    Two levels: a restaurant for each preceding word (64-bit hash), whose new
-    tables are customers of one common parent over words, whose new tables are
-    drawn from 1 / (V + 1). Chunks of texts send their distinct words and pairs to
-    hash buckets of words; a bucket holds every restaurant's seating for its
-    words, so Gibbs sweeps run in all buckets at once. Between rounds (one round
-    to settle, one to sample) the restaurants' totals are added up in hash ranges
-    of contexts and joined to the buckets that have the context. The scores use
-    seatings averaged over the samples, with totals of the same averages, so that
-    each context's probabilities sum to one. Buckets answer each chunk's own
-    questions. The driver sees sums of four numbers; nothing is broadcast. A
-    frequent word's pairs stay in one bucket.
+    Two levels: a restaurant for each preceding word, whose new tables are
+    customers of one common parent over words, whose new tables are drawn from
+    1 / (V + 1). Chunks of texts send their distinct words to hash buckets and
+    learn each word's rank there, so that a pair travels as two small numbers; then
+    their distinct pairs go to the buckets of the second word. A bucket holds every
+    restaurant's seating for its words, so Gibbs sweeps run in all buckets at once.
+    Between rounds (one to settle, one to sample, which goes on from the seating of
+    the first) the restaurants' totals are added up in ranges of contexts and joined
+    to the buckets that have the context. Each sample gives every pair a predictive
+    probability, with that sample's totals, so that a context's sum to one; scores
+    take their mean over the samples. Buckets answer each chunk's own questions.
+    The driver sees sums of eight numbers; nothing is broadcast. A frequent word's
+    pairs stay in one bucket.
 
     Null text is empty (its END is scored); null doc_id is never held out;
     repeated rows count and are scored each; without training rows every word
-    has the probability 1 / (V + 1) with V = 0; an empty table gives no rows.
+    has the probability 1 / (V + 1) with V = 0; an empty table gives no rows; other
+    columns are ignored, whatever their names.
     """
-    table = chunk_table(docs, CHUNK)
-    bits = min(16, buckets_for(table, BUCKET).bit_length() - 1)
+    table = chunk_table(docs, chunk_bytes)
+    bits = buckets_for(table, bucket_bytes).bit_length() - 1
+    plain = table.select("chunk", "ids", "lengths", "data")
 
     def ask(batches):
         for chunk, _ in chunks_of(batches):
-            t = Tokens(chunk)
-            words, pairs = t.cuts(bits)
-            sizes = np.bincount(t.pair_word, minlength=len(t.words))
+            t = Tokens(chunk, bits)
             yield rows_batch(chunk.number, [
-                (i, _question(t.words[a:b], sizes[a:b], t.pair_context[x:y], t.counts[x:y]))
-                for i, (a, b, x, y) in enumerate(zip(words[:-1], words[1:], pairs[:-1], pairs[1:], strict=True)) if b > a
+                (int(i), _packed(np.array([b - a], "<i8"), np.diff(t.words[a:b], prepend=np.uint64(0)), t.counts[a:b]))
+                for i, a, b in zip(range(1 << bits), t.cut[:-1], t.cut[1:], strict=True) if b > a], ("bucket", "blob"))
+
+    def tell(batches):
+        for bucket, rows in bucket_rows(batches):
+            for row, blob in zip(rows, _words_of(rows), strict=True):
+                yield rows_batch(row["chunk"], [(bucket, blob)], ("bucket", "blob"))
+
+    asked = plain.mapInArrow(tidy(ask), "chunk long, bucket long, blob binary")
+    told = materialize(by_bucket(asked).mapInArrow(tidy(tell), "chunk long, bucket long, blob binary"), "words")
+    known = plain.join(answers(told, "told"), "chunk", "left_outer")
+
+    def ask_pairs(batches):
+        for chunk, row in chunks_of(batches):
+            t = Tokens(chunk, bits)
+            p = Pairs(t, row["told"])
+            sizes = np.bincount(p.word, minlength=len(t.words))
+            yield rows_batch(chunk.number, [
+                (int(i), _question(p.rank[a:b], sizes[a:b], p.context[x:y], p.counts[x:y]))
+                for i, (a, b, x, y) in enumerate(zip(t.cut[:-1], t.cut[1:], p.cut[:-1], p.cut[1:], strict=True)) if b > a
             ], ("bucket", "blob"))
 
     def merge(batches):
@@ -325,61 +504,65 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 [pa.array([number]), pa.array([merged], pa.binary()), pa.array([[r["chunk"] for r in rows]], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.binary()))],
                 names=["bucket", "merged", "chunks", "places"])
 
-    asked = table.select("chunk", "ids", "lengths", "data").mapInArrow(tidy(ask), "chunk long, bucket long, blob binary")
-    merged = by_bucket(asked).mapInArrow(tidy(merge), "bucket long, merged binary, chunks array<long>, places array<binary>")
+    merged = by_bucket(known.mapInArrow(tidy(ask_pairs), "chunk long, bucket long, blob binary")).mapInArrow(
+        tidy(merge), "bucket long, merged binary, chunks array<long>, places array<binary>")
     state = bucketed(merged, "bucket", 2 * parts_of(docs.sparkSession))
     own = state.select("bucket", "merged")
-    parts = max(16, 1 << bits >> 5)
 
     def count(_, b: Bucket):
-        some = np.minimum(b.count, 1)
-        return some, [some.sum(), (b.words() > 0).sum(), b.count.sum(), 0]
+        tables, root = opening(b)
+        words = b.by_word(b.count) > 0
+        return [tables], [words.sum(), b.count.sum(), tables.sum(), root.sum()], (tables, root)
 
-    first, (pairs, words, tokens, _) = _exchange(own, parts, count)
+    first, (words, tokens, *first_root) = _exchange(own, bits, count)
+    words, tokens = float(words), float(tokens)
 
-    def tables(given: DataFrame, rest, burn: int, samples: int):
+    def round_of(number: int, given: DataFrame, roots, burn: int, samples: int):
         def run(row, b: Bucket):
-            t, root_customers, root_tables = sample(row["bucket"], b, _totals(row["totals"], *rest, tokens, words), burn, samples)
-            return t, [root_customers.sum(), root_tables.sum(), 0, 0]
+            seated, customers, tables = _totals(row["totals"], b)
+            drawn = sample((row["bucket"], number), b, Totals(customers, tables[0], *roots, tokens, words), seated, burn, samples)
+            last = drawn[-1]
+            return [x[0] for x in drawn], [0, 0, *[v.sum() for x in drawn for v in x[1:]]], (last[0], last[2])
 
-        found, rest_ = _exchange(own.join(given, "bucket"), parts, run)
-        return found, (rest_[0], rest_[1])
+        found, rest = _exchange(own.join(given, "bucket"), bits, run)
+        return found, [tuple(rest[i : i + 2]) for i in range(2, 2 + 2 * samples, 2)]
 
-    settled, settled_root = tables(first, (pairs, words), BURN, 1)
-    final, final_root = tables(settled, settled_root, 1, SAMPLES)
+    settled, (settled_root,) = round_of(1, first, first_root, BURN, 1)
+    final, final_roots = round_of(2, settled, settled_root, 1, SAMPLES)
 
     def answer(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Bucket(row["merged"])
-                t, root_customers, root_tables = sample(row["bucket"], b, _totals(row["totals"], *settled_root, tokens, words), 1, SAMPLES)
-                totals = _totals(row["final"], *final_root, tokens, words)
-                root = totals.root(root_customers, root_tables)
-                known = b.words().astype("<u4")
-                score = np.log10(totals.pair(b.count, t, b.context, root[b.of])).astype("<f4")
+                seated, customers, tables = _totals(row["totals"], b)
+                drawn = sample((row["bucket"], 2), b, Totals(customers, tables[0], *settled_root, tokens, words), seated, 1, SAMPLES)
+                _, customers, tables = _totals(row["final"], b)
+                mean = np.zeros(len(b.count))
+                for (t, root_customers, root_tables), all_tables, roots in zip(drawn, tables, final_roots, strict=True):
+                    totals = Totals(customers, all_tables, *roots, tokens, words)
+                    mean += totals.pair(b.count, t, b.context, totals.root(root_customers, root_tables)[b.of]) / SAMPLES
+                score = np.log10(mean).astype("<f4")
                 for chunk, blob in zip(row["chunks"], row["places"], strict=True):
-                    at = np.cumsum(np.frombuffer(_raw(blob), "<u4"), dtype=np.int64)
-                    raw = known[np.unique(b.of[at])].tobytes() + score[at].tobytes()
-                    yield rows_batch(chunk, [(row["bucket"], pa.compress(raw, codec="zstd", asbytes=True))], ("bucket", "blob"))
+                    r = _Reader(blob)
+                    yield rows_batch(chunk, [(row["bucket"], _packed(score[np.cumsum(r.take("<u4", len(r.raw) // 4), dtype=np.int64)]))], ("bucket", "blob"))
 
     ready = state.join(settled, "bucket").join(final.withColumnRenamed("totals", "final"), "bucket")
-    given = answers(ready.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "answers")
+    scored = materialize(ready.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "scores")
 
     def score(batches):
         for chunk, row in chunks_of(batches):
-            t = Tokens(chunk)
-            w_cut, p_cut = t.cuts(bits)
-            n, p = np.zeros(len(t.words)), np.zeros(len(t.pair_word))
+            t = Tokens(chunk, bits)
+            pairs = Pairs(t, row["told"])
+            p = np.zeros(len(pairs.word))
             for x in row["answers"] or []:
-                a, b, c, d = w_cut[x["bucket"]], w_cut[x["bucket"] + 1], p_cut[x["bucket"]], p_cut[x["bucket"] + 1]
-                raw = pa.decompress(x["blob"], decompressed_size=4 * int(b - a + d - c), codec="zstd", asbytes=True)
-                n[a:b] = np.frombuffer(raw, "<u4", b - a)
-                p[c:d] = np.frombuffer(raw, "<f4", d - c, 4 * int(b - a))
-            seen = n[t.pair_word[t.index]]
+                a, b = pairs.cut[x["bucket"]], pairs.cut[x["bucket"] + 1]
+                p[a:b] = _Reader(x["blob"]).take("<f4", b - a)
+            seen = pairs.known[t.which].astype(np.float64)
             total = lambda v: np.bincount(t.doc, v, minlength=len(chunk.ids))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([None if i == _LEAST else int(i) for i in chunk.ids], pa.int64()), pa.array(t.held_out), pa.array(t.sizes.astype(np.int64)), pa.array(total(seen > 0).astype(np.int64)),
-                 pa.array(np.full(len(chunk.ids), int(tokens))), pa.array(total(np.log10((seen + 1) / (tokens + words + 1)))), pa.array(total(p[t.index]))],
+                 pa.array(np.full(len(chunk.ids), int(tokens))), pa.array(total(np.log10((seen + 1) / (tokens + words + 1)))), pa.array(total(p[pairs.index]))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return table.select("chunk", "ids", "lengths", "data").join(given, "chunk", "left_outer").mapInArrow(tidy(score), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    whole = known.join(answers(scored, "answers"), "chunk", "left_outer")
+    return whole.mapInArrow(tidy(score), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -228,34 +228,101 @@ def test_language_model(spark):
     assert pitman_yor.score_documents(docs(spark, [])).count() == 0
 
 
-def test_seating_sums_to_one():
+def test_predictions_sum_to_one():
     rng = np.random.default_rng(1)
     n = 40
     size = rng.integers(1, 6, n)
-    context = np.concatenate([rng.choice(50, s, replace=False) for s in size])
+    context = np.concatenate([np.sort(rng.choice(50, s, replace=False)) for s in size])
     count = rng.integers(1, 200, len(context))
-    b = pitman_yor.Bucket(pitman_yor.Bucket.pack(np.arange(n), size, count, context))
-    customers = np.bincount(context, count, minlength=pitman_yor.CONTEXTS)
-    first = pitman_yor.Totals(customers, np.bincount(context, minlength=pitman_yor.CONTEXTS), len(count), n, count.sum(), n)
-    t, rc, rt = pitman_yor.sample(0, b, first, 2, 3)
-    assert (t >= 1).all() and (t <= count).all()
-    final = pitman_yor.Totals(customers, np.bincount(context, t, minlength=pitman_yor.CONTEXTS), rc.sum(), rt.sum(), count.sum(), n)
-    root = final.root(rc, rt)
-    assert root.sum() + final.root(0, 0) == pytest.approx(1)
-    for c in (context[0], 4000):
-        at = np.zeros(n), np.zeros(n)
-        for i in np.flatnonzero(b.context == c):
-            at[0][b.of[i]], at[1][b.of[i]] = b.count[i], t[i]
-        total = final.pair(at[0], at[1], np.full(n, c), root).sum() + final.pair(0, 0, c, final.root(0, 0))
-        assert total == pytest.approx(1)
-
-
-def test_table_counts_follow_their_law():
-    """Two customers of a dish share a table with the restaurant's odds."""
-    rng, n = np.random.default_rng(2), 40_000
-    t = pitman_yor.draw_tables(rng, np.full(n, 2.0), np.full(n, 0.3), np.full(n, 4.0), 0.5, 1.0)
-    new = (1 + 0.5 * 5) * 0.3
-    assert (t == 2).mean() == pytest.approx(new / (new + 1 - 0.5), abs=0.01)
+    b = pitman_yor.Bucket(pitman_yor.Bucket.pack(size, count, context, np.arange(50)))
+    customers, state = np.bincount(context, count, minlength=50), pitman_yor.opening(b)
+    first = pitman_yor.Totals(customers, np.bincount(context, minlength=50).astype(float), state[0].sum(), state[1].sum(), count.sum(), n)
+    for t, rc, rt in pitman_yor.sample((0, 1), b, first, state, 2, 3):
+        assert (t >= 1).all() and (t <= count).all() and (rt <= rc).all()
+        final = pitman_yor.Totals(customers, np.bincount(context, t, minlength=50), rc.sum(), rt.sum(), count.sum(), n)
+        root = final.root(rc, rt)
+        assert root.sum() + final.root(0, 0) == pytest.approx(1)
+        for c in (context[0], next(x for x in range(50) if x not in context) if len(set(context)) < 50 else context[1]):
+            at = np.zeros(n), np.zeros(n)
+            for i in np.flatnonzero(b.context == c):
+                at[0][b.of[i]], at[1][b.of[i]] = b.count[i], t[i]
+            total = final.pair(at[0], at[1], np.full(n, c), root).sum() + final.pair(0, 0, c, final.root(0, 0))
+            assert total == pytest.approx(1)
+
+
+def seating_law(d, c, opened, log_new):
+    """The law of a dish's tables by the plain recursion."""
+    s = np.full(c + 2, -np.inf)
+    s[1] = 0
+    for n in range(1, c):
+        t = np.arange(1, n + 2)
+        with np.errstate(divide="ignore"):
+            stay = np.where(t <= n, np.log(np.maximum(n - d * t, 1e-300)) + s[t], -np.inf)
+        s[t] = np.logaddexp(s[t - 1], stay)
+    t = np.arange(1, c + 1)
+    w = s[1 : c + 1] + np.cumsum(np.log(opened + d * np.arange(c))) + t * log_new
+    w = np.exp(w - w.max())
+    return s[1 : c + 1], w / w.sum()
+
+
+@pytest.mark.parametrize("c", [2, 20, 64, 65, 400, 1500, 5000])
+@pytest.mark.parametrize(("new", "others"), [(0.3, 4.0), (0.02, 3000.0)])
+def test_table_counts_follow_their_law(c, new, others):
+    """Whatever the number of customers: mean and width of the exact law."""
+    n, t = 20_000, np.arange(1, c + 1)
+    _, law = seating_law(0.75, c, 5.0 + 0.75 * others, np.log(new))
+    got = pitman_yor.draw_tables(np.random.default_rng(2), np.full(n, float(c)), np.full(n, new), np.full(n, others), 0.75, 5.0)
+    mean = (law * t).sum()
+    width = np.sqrt((law * (t - mean) ** 2).sum())
+    assert got.mean() == pytest.approx(mean, rel=0.02) and got.std() == pytest.approx(width, rel=0.05, abs=0.01)
+
+
+@pytest.mark.parametrize("d", [0.75, 0.8])
+def test_seating_numbers_beyond_the_table(d):
+    c = 3000
+    row, _ = seating_law(d, c, 1.0, 0.0)
+    t = np.arange(1.0, c - 1)
+    gap = np.abs(pitman_yor.seatings(d).log(np.full(len(t), float(c)), t) - row[: len(t)])
+    few = t < pitman_yor.Seatings.FEW * c**d
+    assert gap[few].max() < 1e-4 and gap[~few].max() < 0.05
+
+
+def test_sampling_agrees_with_a_plain_restaurant():
+    """A customer at a time, with tables kept apart: the mean number of tables of
+    two dishes in one restaurant, against sweeps over table counts."""
+    r, d, strength, counts, base = random.Random(3), 0.75, 5.0, (30, 90), (0.2, 0.05)
+    tables, sums, rounds = [[n] for n in counts], [0, 0], 3000
+    for sweep in range(rounds):
+        for dish in (0, 1):
+            own = tables[dish]
+            for _ in range(counts[dish]):
+                i = r.choices(range(len(own)), own)[0]
+                own[i] -= 1
+                if not own[i]:
+                    del own[i]
+                weights = [n - d for n in own] + [(strength + d * (len(tables[0]) + len(tables[1]))) * base[dish]]
+                i = r.choices(range(len(weights)), weights)[0]
+                if i == len(own):
+                    own.append(1)
+                else:
+                    own[i] += 1
+            sums[dish] += len(own) * (sweep >= 200) / (rounds - 200)
+    n, rng = 4000, np.random.default_rng(1)
+    t = [np.ones(n), np.ones(n)]
+    for _ in range(12):
+        for dish in (0, 1):
+            t[dish] = pitman_yor.draw_tables(rng, np.full(n, float(counts[dish])), np.full(n, base[dish]), t[1 - dish], d, strength)
+    assert [x.mean() for x in t] == pytest.approx(sums, rel=0.03)
+
+
+def test_language_model_over_many_chunks_and_buckets(spark):
+    """Small chunks and buckets change what is sampled, not what is counted."""
+    frame = docs(spark)
+    key = lambda r: str(r[:5])
+    one, many = (sorted(pitman_yor.score_documents(frame, **k).collect(), key=key) for k in ({}, {"chunk_bytes": 2000, "bucket_bytes": 1000}))
+    assert [r[:5] for r in one] == [r[:5] for r in many]
+    assert [r["base_score"] for r in one] == pytest.approx([r["base_score"] for r in many])
+    assert sum(r["score"] for r in one) == pytest.approx(sum(r["score"] for r in many), rel=0.02)
 
 
 def test_contexts_are_whole_words(spark):
@@ -271,7 +338,7 @@ def test_contexts_are_whole_words(spark):
     rows += [(test[0], " ".join(f"c{i} d{i}" for i in range(0, n, 64))), (test[1], " ".join(f"c{i} d{(i + 32) % n}" for i in range(0, n, 64)))]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     chunks = pitman_yor.chunks_of(pitman_yor.chunk_table(table).select("chunk", "ids", "lengths", "data").toArrow().to_batches())
-    assert len({c for chunk, _ in chunks for c in pitman_yor.Tokens(chunk).pair_context.tolist()}) == 2 * n + 1
+    assert len({c for chunk, _ in chunks for c in pitman_yor.Tokens(chunk, 4).words.tolist()}) == 2 * n + 1
     got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in pitman_yor.score_documents(table).collect()}
     assert got[test[0]] > got[test[1]] + 0.5
 
