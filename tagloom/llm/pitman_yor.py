@@ -24,7 +24,10 @@ BURN, SAMPLES = 2, 3
 #: up to which the seating numbers are tabled; steps of the chain beyond.
 LISTED, TABLED, STEPS = 64, 1024, 4
 CHUNK = 9 << 20
-BUCKET = 4 << 20
+BUCKET = 8 << 20
+#: Steps in a power of ten to which a token's log10 probability is rounded when it
+#: is sent back to the texts.
+FINE = 1 << 16
 END = np.uint64(0x3C6EF372FE94F82B)
 
 
@@ -114,7 +117,7 @@ def seatings(discount: float) -> Seatings:
     return _SEATINGS[discount]
 
 
-def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.ndarray, discount: float, strength: float) -> np.ndarray:
+def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.ndarray, discount: float, strength: float, start=None, guide=None) -> np.ndarray:
     """Gibbs step for each dish of a restaurant: its customers leave and are
     seated anew, given the tables of the other dishes (`others`) and the parent's
     probability of the dish (`new_weight`). The seating of a dish matters through
@@ -122,9 +125,11 @@ def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.n
     S(c, t), of opening t tables and of the parent serving the dish t times.
 
     The law is the same for any number of customers. Up to LISTED it is written
-    out and drawn from; beyond, its mode and width are found by halving, and an
-    independence chain of STEPS proposals from a logistic law of that place and
-    width, accepted by the exact ratio of the weights, draws from it."""
+    out and drawn from; beyond, an independence chain of STEPS proposals from a
+    logistic law about the weights' mode, accepted by the exact ratio of the
+    weights, draws from it. The chain begins at `start` (at the mode if none);
+    `guide`, an array of two rows, keeps place and width of the proposals from one
+    sweep for the next (NaN: not known yet)."""
     s = seatings(discount)
     tables = np.ones(len(customers))
     order = np.argsort(customers, kind="stable")
@@ -140,27 +145,51 @@ def draw_tables(rng, customers: np.ndarray, new_weight: np.ndarray, others: np.n
             tables[part] = 1 + (weight < rng.random(len(part))[:, None] * weight[:, -1:]).sum(axis=1)
     big = order[cut[LISTED + 1] :]
     if len(big):
-        tables[big] = _chain(rng, s, customers[big], log_new[big], strength / discount + others[big])
+        c, opened = customers[big], strength / discount + others[big]
+        guide = np.full((2, len(customers)), np.nan) if guide is None else guide
+        new = np.isnan(guide[0, big])
+        guide[:, big[new]] = _about(discount, c[new], log_new[big[new]], opened[new])
+        mode, width = np.clip(guide[0, big], 1, c), guide[1, big]
+        tables[big] = _chain(rng, s, c, log_new[big], opened, np.round(mode) if start is None else np.where(new, np.round(mode), start[big]), mode, width)
     return tables
 
 
-def _chain(rng, s: Seatings, c: np.ndarray, log_new: np.ndarray, opening: np.ndarray) -> np.ndarray:
-    base = log_gamma(opening)
-    law = lambda t: s.log(c, t) + log_gamma(opening + t) - base + t * (log_new + math.log(s.d))
-    low, high = np.ones(len(c)), c.copy()
-    while (low < high).any():
-        middle = np.floor((low + high) / 2)
-        rising = law(np.minimum(middle + 1, c)) > law(middle)
-        low, high = np.where(rising & (low < high), middle + 1, low), np.where(~rising & (low < high), middle, high)
-    mode, top = low, law(low)
-    bend = 2 * top - law(np.minimum(mode + 1, c)) - law(np.maximum(mode - 1, 1))
-    width = np.clip(0.7 / np.sqrt(np.clip(bend, 1e-9, None)), 0.5, np.maximum(2.0, 2 * np.sqrt(mode) + 1))
+def _about(d: float, c: np.ndarray, log_new: np.ndarray, opened: np.ndarray) -> np.ndarray:
+    """Place and width of the law of tables, about: where another table is as
+    likely as not, by the slope of the saddle point's log S."""
+
+    def at(x):
+        u = np.exp(x)
+        t = np.clip(c * -np.expm1(d * x) / (d * -np.expm1(x) * u ** (d - 1)), 1e-3, c)
+        return t, np.log(-np.expm1(d * x) * (opened + t) / t) + log_new
+
+    low, high = np.full(len(c), -60.0), np.full(len(c), -1e-9)
+    for _ in range(40):
+        x = (low + high) / 2
+        rising = at(x)[1] > 0
+        low, high = np.where(rising, x, low), np.where(rising, high, x)
+    t, _ = at(x)
+    (t1, h1), (t2, h2) = at(x * 1.01), at(x * 0.99)
+    bend = np.abs(h2 - h1) / np.maximum(np.abs(t2 - t1), 1e-9)
+    mode = np.clip(t + 1, 1, c)  # the slope is that from t to t + 1, and the law leans to the right
+    return np.stack([mode, np.clip(0.75 / np.sqrt(np.maximum(bend, 1e-9)), 0.6, np.maximum(2.0, 2 * np.sqrt(mode)))])
+
+
+def _chain(rng, s: Seatings, c, log_new, opened, start, mode, width) -> np.ndarray:
+    base = log_gamma(opened)
+    law = lambda t: s.log(c, t) + log_gamma(opened + t) - base + t * (log_new + math.log(s.d))
     edge = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-    mass = lambda t: np.log(np.maximum(edge((t + 0.5 - mode) / width) - edge((t - 0.5 - mode) / width), 1e-300))
-    t, weight = mode, top - mass(mode)
+
+    def mass(t):
+        # of the logistic law between t - 1/2 and t + 1/2, on the side where it does not cancel
+        x, h = np.abs(t - mode) / width, 0.5 / width
+        return np.log(np.maximum(edge(h - x) - edge(-h - x), 1e-300))
+
+    t = np.clip(start, 1, c)
+    weight = law(t) - mass(t)
     for _ in range(STEPS):
-        u = rng.random(len(c))
-        found = np.round(mode + width * np.log(np.maximum(u, 1e-300) / np.maximum(1 - u, 1e-300)))
+        u = np.maximum(rng.random(len(c)), 1e-16)
+        found = np.round(mode + width * np.log(u / np.maximum(1 - u, 1e-16)))
         inside = (found >= 1) & (found <= c)
         found = np.where(inside, found, t)
         other = law(found) - mass(found)
@@ -258,16 +287,18 @@ def sample(seed: tuple[int, int], bucket: Bucket, totals: Totals, state: tuple[n
     away = totals.tables - bucket.by_context(tables)
     away_customers, away_tables = totals.root_customers - root_customers.sum(), totals.root_tables - root_tables.sum()
     more, kept = np.flatnonzero(bucket.count > 1), []
+    guide, root_guide = np.full((2, len(more)), np.nan), np.full((2, len(root_tables)), np.nan)
     for sweep in range(burn + samples):
         now = Totals(totals.customers, None, away_customers + root_customers.sum(), away_tables + root_tables.sum(), totals.tokens, totals.words)
         p = now.root(root_customers, root_tables)
         others = np.maximum(0, (away + bucket.by_context(tables))[bucket.context[more]] - tables[more])
-        tables[more] = draw_tables(rng, bucket.count[more], p[bucket.of[more]], others, DISCOUNT, STRENGTH)
+        tables[more] = draw_tables(rng, bucket.count[more], p[bucket.of[more]], others, DISCOUNT, STRENGTH, tables[more], guide)
         root_customers = bucket.by_word(tables)
         some = np.flatnonzero(root_customers > 1)
         others = np.maximum(0.0, away_tables + root_tables.sum() - root_tables[some])
-        root_tables = np.minimum(root_customers, 1)
-        root_tables[some] = draw_tables(rng, root_customers[some], np.full(len(some), 1 / (totals.words + 1)), others, ROOT_DISCOUNT, ROOT_STRENGTH)
+        before, root_tables, own = root_tables[some], np.minimum(root_customers, 1), root_guide[:, some]
+        root_tables[some] = draw_tables(rng, root_customers[some], np.full(len(some), 1 / (totals.words + 1)), others, ROOT_DISCOUNT, ROOT_STRENGTH, before, own)
+        root_guide[:, some] = own
         if sweep >= burn:
             kept.append((tables.copy(), root_customers, root_tables))
     return kept
@@ -429,11 +460,12 @@ def _exchange(rows: DataFrame, bits: int, per_bucket) -> tuple[DataFrame, np.nda
     return given, rest[0].take("<f8", len(rest[0].raw) // 8) if rest else np.zeros(2 + 2 * SAMPLES)
 
 
-def _totals(pieces: list[dict], b: Bucket) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, list[np.ndarray]]:
-    """A bucket's seating, and the customers and tables (in each sample) of its
-    contexts."""
+def _totals(pieces: list[dict], b: Bucket, samples: int = 0):
+    """A bucket's seating (with samples, what it drew in each), and the customers
+    and tables (in each sample) of its contexts."""
     r = _Reader(pieces[0]["blob"])
-    state = r.take("<i8", len(b.count)).astype(np.float64), r.take("<i8", len(b.size)).astype(np.float64)
+    pairs, words = (lambda: r.take("<i8", len(b.count)).astype(np.float64)), (lambda: r.take("<i8", len(b.size)).astype(np.float64))
+    state = [(pairs(), words(), words()) for _ in range(samples)] if samples else (pairs(), words())
     sums = []
     for x in pieces[1:]:
         r = _Reader(x["blob"])
@@ -521,8 +553,9 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK, bucket_bytes: int
         def run(row, b: Bucket):
             seated, customers, tables = _totals(row["totals"], b)
             drawn = sample((row["bucket"], number), b, Totals(customers, tables[0], *roots, tokens, words), seated, burn, samples)
+            # what the next round begins with, or what the answers are made of
             last = drawn[-1]
-            return [x[0] for x in drawn], [0, 0, *[v.sum() for x in drawn for v in x[1:]]], (last[0], last[2])
+            return [x[0] for x in drawn], [0, 0, *[v.sum() for x in drawn for v in x[1:]]], ((last[0], last[2]) if samples == 1 else [v for x in drawn for v in x])
 
         found, rest = _exchange(own.join(given, "bucket"), bits, run)
         return found, [tuple(rest[i : i + 2]) for i in range(2, 2 + 2 * samples, 2)]
@@ -534,20 +567,17 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK, bucket_bytes: int
         for batch in batches:
             for row in batch.to_pylist():
                 b = Bucket(row["merged"])
-                seated, customers, tables = _totals(row["totals"], b)
-                drawn = sample((row["bucket"], 2), b, Totals(customers, tables[0], *settled_root, tokens, words), seated, 1, SAMPLES)
-                _, customers, tables = _totals(row["final"], b)
+                drawn, customers, tables = _totals(row["totals"], b, SAMPLES)
                 mean = np.zeros(len(b.count))
                 for (t, root_customers, root_tables), all_tables, roots in zip(drawn, tables, final_roots, strict=True):
                     totals = Totals(customers, all_tables, *roots, tokens, words)
                     mean += totals.pair(b.count, t, b.context, totals.root(root_customers, root_tables)[b.of]) / SAMPLES
-                score = np.log10(mean).astype("<f4")
+                score = np.round(np.log10(mean) * -FINE).astype("<i4")
                 for chunk, blob in zip(row["chunks"], row["places"], strict=True):
                     r = _Reader(blob)
                     yield rows_batch(chunk, [(row["bucket"], _packed(score[np.cumsum(r.take("<u4", len(r.raw) // 4), dtype=np.int64)]))], ("bucket", "blob"))
 
-    ready = state.join(settled, "bucket").join(final.withColumnRenamed("totals", "final"), "bucket")
-    scored = materialize(ready.mapInArrow(tidy(answer), "chunk long, bucket long, blob binary"), "scores")
+    scored = state.join(final, "bucket").mapInArrow(tidy(answer), "chunk long, bucket long, blob binary")
 
     def score(batches):
         for chunk, row in chunks_of(batches):
@@ -556,7 +586,7 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK, bucket_bytes: int
             p = np.zeros(len(pairs.word))
             for x in row["answers"] or []:
                 a, b = pairs.cut[x["bucket"]], pairs.cut[x["bucket"] + 1]
-                p[a:b] = _Reader(x["blob"]).take("<f4", b - a)
+                p[a:b] = _Reader(x["blob"]).take("<i4", b - a) / -FINE
             seen = pairs.known[t.which].astype(np.float64)
             total = lambda v: np.bincount(t.doc, v, minlength=len(chunk.ids))
             yield pa.RecordBatch.from_arrays(
