@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import numpy as np
@@ -13,8 +14,6 @@ from tagloom.llm.common import mix, parts_of, range_bounds, range_part, ship, ti
 
 #: Bytes of an anchor and of its inner substrings.
 K, S = 32, 8
-#: Anchors that the fingerprint's text lists, those of the least hashes.
-LISTED = 24
 _LEAST = -(1 << 63)
 
 
@@ -45,19 +44,32 @@ def syncmers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Print:
-    """A document's anchors: distinct hashes with their first positions. A text
-    too short for any is one anchor of its own, its whole self."""
+    """A document's anchors: `text` has all of them, as base64 of four bytes of
+    hash for each and then, for each, the step from the one before (a byte: no
+    K bytes in a row are without a syncmer). `hash` and `pos` are the distinct
+    hashes with their first positions. A text too short for any is one anchor of
+    its own, its whole self."""
 
     __slots__ = ("hash", "pos", "text")
 
-    def __init__(self, raw: bytes, pos: np.ndarray, h: np.ndarray):
+    def __init__(self, pos: np.ndarray, h: np.ndarray, text: str):
+        self.hash, first = np.unique(h, return_index=True)
+        self.pos, self.text = pos[first], text
+
+    @classmethod
+    def of(cls, raw: bytes, pos: np.ndarray, h: np.ndarray) -> Print:
         if not len(h):
             h = np.frombuffer(hashlib.blake2b(raw, digest_size=8, person=b"short").digest(), np.uint64)
             pos = np.zeros(1, np.int64)
-        whole = hashlib.blake2b(h.tobytes() + pos.astype(np.int64).tobytes(), digest_size=8).hexdigest()
-        self.hash, first = np.unique(h, return_index=True)
-        self.pos = pos[first]
-        self.text = f"{len(h):x}:{whole}:" + ",".join(f"{int(x):x}" for x in self.hash[:LISTED] >> np.uint64(32))
+        h = (h >> np.uint64(32)).astype("<u4")
+        return cls(pos, h, base64.b64encode(h.tobytes() + np.diff(pos, prepend=0).astype(np.uint8).tobytes()).decode())
+
+    @classmethod
+    def read(cls, text: str) -> Print:
+        """A fingerprint again from its text."""
+        raw = base64.b64decode(text)
+        n = len(raw) // 5
+        return cls(np.cumsum(np.frombuffer(raw, np.uint8, n, 4 * n), dtype=np.int64), np.frombuffer(raw, "<u4", n), text)
 
     def likeness(self, other: Print) -> float:
         """Jaccard over anchors, of which a common one counts if another common
@@ -71,11 +83,16 @@ class Print:
         return matched / (len(self.hash) + len(other.hash) - matched)
 
 
+def likeness(a: str, b: str) -> float:
+    """Likeness of two published fingerprints, 0 to 1."""
+    return Print.read(a).likeness(Print.read(b))
+
+
 def prints(texts: list[bytes]) -> list[Print]:
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     doc, pos, h = syncmers(np.frombuffer(b"".join(texts), np.uint8), offsets)
     cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-    return [Print(t, pos[a:b], h[a:b]) for t, a, b in zip(texts, cut[:-1], cut[1:], strict=True)]
+    return [Print.of(t, pos[a:b], h[a:b]) for t, a, b in zip(texts, cut[:-1], cut[1:], strict=True)]
 
 
 def _rows(keys: list, texts: list[str]) -> pa.RecordBatch:

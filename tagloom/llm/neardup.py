@@ -206,14 +206,12 @@ def _pairs(cand: DataFrame, s: Settings, across: bool) -> DataFrame:
 # ------------------------------------------------------------ confirmation
 
 def _pack(h: np.ndarray) -> bytes:
-    """40 bits of each hash, ascending: 4 bytes each, then 1 byte each."""
-    h = h >> np.uint64(24)
-    return (h & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (h >> np.uint64(32)).astype(np.uint8).tobytes()
+    """A set's hashes, ascending, whole."""
+    return h.astype("<u8").tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    n = len(raw) // 5
-    return np.frombuffer(raw, "<u4", n).astype(np.uint64) | (np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
+    return np.frombuffer(raw, "<u8")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings, wide: bool = False) -> DataFrame:
@@ -325,33 +323,35 @@ def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
 def drop_near_duplicates(docs: DataFrame, s: Settings = FIVE_80) -> DataFrame:
     """The rows of docs but one of each group of near-duplicates: the one with
     the least doc_id stays, of rows that repeat it with the same text one.
-    Texts without words stay."""
+    Texts without words stay, null ones too; a null doc_id is the least; an empty
+    table gives no rows; other columns are kept, whatever their names."""
     table, classes = _classes(docs, s)
     gone = table.where("n > 0").join(classes, "cid").where("doc_id <> component_id").select("doc_id", "cid")
     again = table.where("n > 0").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
     gone = materialize(gone.select("doc_id").distinct(), "dup-gone")
     again = materialize(again, "dup-again")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
+    if not again.isEmpty():
+        return _drop_repeated(docs, table, classes, s)
     small = gone.count() <= SMALL
-    gone = gone.withColumnRenamed("doc_id", "_gone")
-    if again.isEmpty():
-        return docs.join(F.broadcast(gone) if small else gone, key == F.col("_gone"), "left_anti")
-    return _drop_repeated(docs, table, classes, s)
+    return _rows(docs).join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select("doc.*")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc: the whole row, doc_id): apart, so that no column's name is in the way."""
+    return docs.select(F.struct("*").alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"))
 
 
 def _drop_repeated(docs: DataFrame, table: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """Where ids repeat: rows are told apart by the class of their set."""
     from pyspark.sql import Window
 
-    names = docs.columns
     kept = table.join(classes, "cid", "left_outer").where("n = 0 or doc_id = component_id")
     # one line for each kept (doc_id, class); a text leads to its class through its own signature
-    lines = kept.select("doc_id", "cid", "n").distinct()
-    text_class = _text_classes(docs, s)
-    rows = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))).withColumn("_t", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = rows.join(text_class, ["_k", "_t"]).join(lines.select(F.col("doc_id").alias("_k"), F.col("cid").alias("_c")), ["_k", "_c"], "left_semi")
-    order = Window.partitionBy("_k", "_c").orderBy("_t")
-    return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1 or _c = 0").select(*names)
+    lines = kept.select("doc_id", "cid").distinct()
+    rows = _rows(docs).withColumn("sha", F.sha2(F.coalesce("doc.text", F.lit("")), 256))
+    rows = rows.join(_text_classes(docs, s), ["doc_id", "sha"]).join(lines, ["doc_id", "cid"], "left_semi")
+    order = Window.partitionBy("doc_id", "cid").orderBy("sha")
+    return rows.withColumn("place", F.row_number().over(order)).where("place = 1 or cid = 0").select("doc.*")
 
 
 def _text_classes(docs: DataFrame, s: Settings) -> DataFrame:
@@ -360,7 +360,7 @@ def _text_classes(docs: DataFrame, s: Settings) -> DataFrame:
             data, offsets = utf8_column(batch.column(2))
             for a, b in slices(offsets):
                 h, at = _sets(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), s.width)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(_class_of(h, at))], names=["_k", "_t", "_c"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(_class_of(h, at))], names=["doc_id", "sha", "cid"])
 
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("_k"), F.sha2(text, 256).alias("_t"), text.alias("text")).mapInArrow(tidy(run), "_k long, _t string, _c long").distinct()
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text")).mapInArrow(tidy(run), "doc_id long, sha string, cid long").distinct()

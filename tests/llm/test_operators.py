@@ -192,6 +192,26 @@ def test_near_duplicates(spark):
     assert ids == sorted({str(i) for i, n, c, k in brute_groups(rows, 5, 80) if k})
 
 
+def test_near_duplicates_keep_columns_of_any_name(spark):
+    text = [" ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30)), "", None]
+    for ids in ([1, 2, 3, 4, 5, 6], [1, 1, 2, 2, 3, 4]):
+        rows = [(i, t, "a", "b", 7, "c", 0.5) for i, t in zip(ids, [text[0], text[0], text[1], text[1], text[2], text[3]], strict=True)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, _gone string, _t string, cid int, sha string, doc double")
+        kept = neardup.drop_near_duplicates(frame)
+        assert kept.columns == frame.columns and sorted((r["text"] or "") for r in kept.collect()) == sorted([text[0], text[1], "", ""])
+        assert {tuple(r)[2:] for r in kept.collect()} == {("a", "b", 7, "c", 0.5)}
+    assert neardup.drop_near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_words_of_a_known_collision_have_their_own_hashes():
+    from tagloom.llm.common import Words
+
+    for n in (1024, 2048):
+        one = bytes(b"ab"[bin(i).count("1") & 1] for i in range(n))
+        data = one + b" " + one.translate(bytes.maketrans(b"ab", b"ba"))
+        assert len(set(Words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hash.tolist())) == 2
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randint(0, 80), r.randint(0, 80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
@@ -456,6 +476,20 @@ def test_fingerprints(spark):
         own, other, succ = fingerprints.prints([t.encode()])[0], fingerprints.prints([edited.encode()])[0], fingerprints.prints([after.encode()])[0]
         expected.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), own.text, other.text, own.likeness(other), own.likeness(succ)))
     same(fingerprints.fingerprint_neighbours(frame), expected)
+    same(fingerprints.fingerprint_neighbours(frame, slice_chars=300), expected)
+    assert fingerprints.fingerprint_neighbours(frame.limit(0)).count() == 0
+    # the likenesses follow from the published fingerprints alone
+    for k, x in enumerate(expected):
+        assert x[5] == fingerprints.likeness(x[3], x[4]) and x[6] == fingerprints.likeness(x[3], expected[(k + 1) % len(expected)][3])
+
+
+def test_steps_between_anchors_fit_a_byte():
+    r = random.Random(12)
+    raw = b"a" * 5000 + bytes(r.randrange(256) for _ in range(20_000)) + b"ab" * 3000
+    doc, pos, h = fingerprints.syncmers(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    own = fingerprints.Print.of(raw, pos, h)
+    again = fingerprints.Print.read(own.text)
+    assert np.diff(pos).max() <= fingerprints.K and (again.pos == own.pos).all() and (again.hash == own.hash).all()
 
 
 def test_syncmers_by_definition():
