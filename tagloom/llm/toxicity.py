@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Words, ship, slices, tidy, utf8_column
+from tagloom.llm.common import Words, materialize, ship, slices, tidy, utf8_column
 
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -26,6 +26,8 @@ IDENTITY = [
 ]
 #: Labelled rows that are fitted on, at most: the bound of what reaches the driver.
 MOST_ROWS = 8000
+#: Neutral terms that are found in the labelled rows, at most, beside the fixed ones.
+MOST_TERMS = 32
 
 
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -41,23 +43,50 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (pairs >> np.uint64(BITS)).astype(np.int64), (pairs & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
-def swapped(text: str) -> str | None:
-    """The text with each identity term replaced by the next of its line; None
-    if it has none."""
-    new, n = _TERM.subn(lambda m: _NEXT[m[0].lower()], text)
-    return new if n else None
-
-
-_NEXT = {t: line[(i + 1) % len(line)] for line in IDENTITY for i, t in enumerate(line)}
-_TERM = re.compile(r"(?<!\w)(?:" + "|".join(_NEXT) + r")(?!\w)", re.IGNORECASE)
+class Swap:
+    """Replaces each identity term by the next of its line, whatever its case."""
+
+    def __init__(self, lines: list[list[str]]):
+        self.next = {t: line[(i + 1) % len(line)] for line in lines for i, t in enumerate(line) if len(line) > 1}
+        terms = sorted(self.next, key=len, reverse=True)
+        self.term = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, terms)) + r")(?!\w)", re.IGNORECASE) if terms else None
+
+    def __call__(self, text: str) -> str | None:
+        """The counterpart of a text; None if it has no term."""
+        if self.term is None:
+            return None
+        new, n = self.term.subn(lambda m: self.next.get(m[0].lower(), m[0]), text)
+        return new if n else None
+
+
+def neutral_terms(texts: DataFrame, most: int = MOST_TERMS) -> list[list[str]]:
+    """Lines of two terms that a score should not depend on, from labelled texts
+    (text, toxic): the words that mark a group of speakers rather than an insult
+    are common, and as frequent among toxic texts as among others (a chi-square
+    below 1). Of the words of letters in a hundredth of the texts at least, `most`
+    of the most frequent ones, neighbours in frequency paired. The driver sees
+    `most` words."""
+    total = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
+    if not total["n"] or not 0 < total["t"] < total["n"]:
+        return []
+    words = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{2,}"), F.lit(0)))).alias("word"))
+    share = total["t"] / total["n"]
+    gap = F.col("t") - F.col("n") * share
+    found = words.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).where(
+        (F.col("n") * 100 >= total["n"]) & (F.col("n") >= 10) & (gap * gap < F.col("n") * (share * (1 - share))))
+    kept = [x["word"] for x in found.orderBy(F.desc("n"), "word").limit(most).collect()]
+    return [kept[i : i + 2] for i in range(0, len(kept) - 1, 2)]
 
 
 @dataclass
 class Model:
-    """log-odds = bias + the sum of the weights of a text's distinct features."""
+    """log-odds = bias + the sum of the weights of a text's distinct features.
+    `pairs` counterfactual pairs were fitted, of terms in these `lines`."""
 
     weights: np.ndarray
     bias: float
+    pairs: int = 0
+    lines: tuple = ()
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         doc, index = features(Words(data, offsets))
@@ -92,6 +121,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, deltas: list[tuple[np.ndarra
     expect = n * labels.mean()
     chi = (n1 - expect) ** 2 / np.maximum(expect * (1 - labels.mean()), 1e-9)
     used = np.flatnonzero((n >= 3) & (chi > 15))
+    if not len(used):
+        return Model(weights, bias, len(deltas))
     place = np.full(1 << BITS, -1)
     place[used] = np.arange(len(used))
     keep = place[flat] >= 0
@@ -119,45 +150,55 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, deltas: list[tuple[np.ndarra
         w = np.sign(w) * np.maximum(0, np.abs(w) - rate * sparsity / scale.clip(2e-3))
         bias -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-6)
     weights[used] = w
-    return Model(weights, float(bias))
+    return Model(weights, float(bias), len(changes))
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out=None, most_rows: int = MOST_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, held_out=None, most_rows: int = MOST_ROWS, lines: list[list[str]] | None = None, fairness: float = 1.0) -> Model:
     """Fit on at most `most_rows` labelled documents outside held_out (a Column
     over doc_id), the first in the order of a hash of doc_id. Only text and
-    labels.toxic are used. Labels that are null or not 0 or 1 don't count; of
-    conflicting labels the higher holds. Without both classes the model is a
-    low constant."""
+    labels.toxic are used. Each document that has a term of `lines` (IDENTITY and
+    the corpus's own neutral terms, if not given) has a counterpart with the
+    terms exchanged. Labels that are null or not 0 or 1 don't count; of
+    conflicting labels the higher holds; of rows that repeat a labelled doc_id the
+    least text. Without both classes, or without rows, the model is a low
+    constant."""
     ship(docs.sparkSession)
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     if held_out is not None:
         known = known.where(~held_out)
     sample = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    # at most most_rows rows of two numbers, whatever the tables
+    # at most most_rows rows of two numbers, whatever the tables; one text for each
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = materialize(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxic-sample")
+    lines = [*IDENTITY, *neutral_terms(texts)] if lines is None else lines
 
     def run(batches):
+        swap = Swap(lines)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             own = _feature_rows(texts)
-            other = [swapped(t) for t in texts]
+            other = [swap(t) for t in texts]
             changed = iter(_feature_rows([t for t in other if t is not None]))
+            moved = [(None, None) if t is None else (np.setdiff1d(a, b := next(changed)), np.setdiff1d(b, a)) for a, t in zip(own, other, strict=True)]
+            lists = lambda rows: pa.array([None if x is None else x.astype(np.int32) for x in rows], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2).cast(pa.int32()), pa.array([r.astype(np.int32) for r in own], pa.list_(pa.int32())),
-                 pa.array([None if t is None else next(changed).astype(np.int32) for t in other], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "own", "other"])
+                [batch.column(0), batch.column(2).cast(pa.int32()), lists(own), *map(lists, zip(*moved, strict=True))], names=["doc_id", "toxic", "own", "less", "more"])
 
-    got = texts.select("doc_id", "text", "toxic").mapInArrow(tidy(run), "doc_id long, toxic int, own array<int>, other array<int>").toArrow()
+    got = texts.select("doc_id", "text", "toxic").mapInArrow(tidy(run), "doc_id long, toxic int, own array<int>, less array<int>, more array<int>").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    own = [r.values.to_numpy().astype(np.int64) for r in got["own"]]
-    deltas = [(own[i], r.values.to_numpy().astype(np.int64)) for i, r in enumerate(got["other"]) if r.is_valid]
-    return fit([own[i] for i in order], got["toxic"].to_numpy()[order].astype(float), deltas)
+    numbers = lambda r: r.values.to_numpy().astype(np.int64)
+    own = [numbers(r) for r in got["own"]]
+    deltas = [(numbers(got["less"][int(i)]), numbers(got["more"][int(i)])) for i in order if got["less"][int(i)].is_valid]
+    model = fit([own[i] for i in order], got["toxic"].to_numpy()[order].astype(float), deltas, fairness=fairness)
+    model.lines = tuple(map(tuple, lines))
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep_below: float | None = None) -> DataFrame:
     """The rows of docs with `score`, a double in 0 to 1 (a column of that name
     is replaced); with keep_below, only the rows scored below it, without the
-    column. Null or empty text has the score of no words."""
+    column. Null or empty text has the score of no words; repeated rows are scored
+    each; an empty table gives no rows; other columns are kept."""
     spark = docs.sparkSession
     ship(spark)
     names = [c for c in docs.columns if c != "score" or keep_below is not None]

@@ -532,7 +532,42 @@ def test_swaps_lower_the_weight_of_group_names():
         own = toxicity._feature_rows([text])[0]
         rows.append(own)
         labels.append(toxic)
-        if other := toxicity.swapped(text):
+        if other := toxicity.Swap(toxicity.IDENTITY)(text):
             deltas.append((own, toxicity._feature_rows([other])[0]))
     ask = lambda m: m.score(np.frombuffer(b"a muslim neighbour", np.uint8), np.array([0, 18]))[0]
     assert ask(toxicity.fit(rows, np.array(labels, float), deltas, fairness=5.0)) < ask(toxicity.fit(rows, np.array(labels, float), []))
+
+
+def test_swaps_on_a_table_spare_neutral_mentions(spark):
+    """Group words that the sample has mostly in toxic texts: with pairs, fewer
+    neutral texts that mention a group are rejected, and insults still are."""
+    r = random.Random(21)
+    say = lambda k: " ".join(r.choice(VOCAB[:40]) for _ in range(k))
+    rows = [say(12) + (" muslim" if i % 2 and r.random() < 0.9 else "") + (" vile" if i % 2 and r.random() < 0.5 else "") + (" christian" if r.random() < 0.3 else "") for i in range(400)]
+    neutral, insults = [say(12) + " muslim" for _ in range(40)], [say(12) + " vile" for _ in range(40)]
+    frame = spark.createDataFrame(list(enumerate(rows + neutral + insults)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    rejected = {}
+    for fairness in (0.0, 5.0):
+        model = toxicity.train(frame, labels, fairness=fairness, lines=toxicity.IDENTITY)
+        assert model.pairs > 100
+        got = {x["doc_id"]: x["score"] for x in toxicity.score(frame, model).collect()}
+        rejected[fairness] = sum(got[i] >= 0.5 for i in range(400, 440))
+        if fairness:
+            assert sum(got[i] >= 0.5 for i in range(440, 480)) == 40
+    assert rejected[0.0] == 40 and rejected[5.0] == 0
+
+
+def test_neutral_terms_are_as_frequent_in_both_classes(spark):
+    rows = [(int(i % 4 == 0), ("both " if i % 3 else "") + ("alike " if i % 5 else "") + ("vile" if i % 4 == 0 else "fine")) for i in range(240)]
+    frame = spark.createDataFrame(rows, "toxic int, text string")
+    assert toxicity.neutral_terms(frame) == [["alike", "both"]]
+    assert toxicity.neutral_terms(frame.where("toxic = 1")) == [] and toxicity.neutral_terms(frame.limit(0)) == []
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    rows = [(i % 20, f"{'vile' if i % 2 else 'fine'} w{i % 20}") for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    model = toxicity.train(frame, labels, lines=[["fine", "good"]])
+    assert model.pairs == 10
