@@ -18,6 +18,33 @@ KINDS = ["assign", "access", "hex", "secret", "endpoint"]
 SPAN = "struct<start:int,kind:int,end:int>"
 #: Characters between parts of one credential, at most.
 SCOPE = 400
+#: Elements of an array that are run through at once, and characters of a block.
+PIECE, WINDOW = 128, 2048
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, first: int, step) -> Column:
+    """The running results of step(result, value) over an array of int, where
+    step is a sum or a maximum. An array that grows by one copies itself each time,
+    so it is done within pieces of PIECE, from what the pieces before come to."""
+
+    def along(xs, start):
+        return F.aggregate(
+            xs, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(step(acc["at"], x))).alias("out")),
+            lambda acc: acc["out"])
+
+    def whole(pieces):
+        zero = F.lit(first)
+        sums = along(F.transform(pieces, lambda p: F.aggregate(p, zero, step)), zero)
+        return F.flatten(F.zip_with(pieces, F.concat(F.array(zero), F.slice(sums, 1, F.greatest(F.size(sums) - 1, F.lit(0)))), along))
+
+    cut = lambda v: F.transform(F.sequence(F.lit(0), ((F.size(v) - 1) / PIECE).cast("int")), lambda i: F.slice(v, i * PIECE + 1, F.lit(PIECE)))
+    return _let(values, lambda v: F.when(F.size(v) > 0, _let(cut(v), whole)).otherwise(F.array().cast("array<int>")))
 
 
 def _spans(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
@@ -25,30 +52,16 @@ def _spans(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
     themselves give the positions. `least` bounds group 1 (0: no bound)."""
     lit = F.lit(pattern)
     found = F.regexp_extract_all(text, lit, F.lit(0))
-    parts = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-        F.transform(found, F.length).alias("len"),
-        *([F.transform(F.regexp_extract_all(text, lit, F.lit(1)), F.length).alias("val")] if least else []),
-    )
-    step = F.aggregate(
-        F.slice(parts, 1, F.size(found)),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.filter(
-                    F.array(F.struct(
-                        (acc["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"),
-                        (acc["at"] + x["gap"] + x["len"]).alias("end"),
-                    ).cast(SPAN)),
-                    lambda _: (x["val"] >= least) if least else F.lit(True),
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.regexp_like(text, lit), step).otherwise(F.array().cast(f"array<{SPAN}>"))
+    size = F.transform(found, F.length)
+    value = F.transform(F.regexp_extract_all(text, lit, F.lit(1)), F.length) if least else size
+    parts = F.slice(F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), size.alias("len"), value.alias("val")), 1, F.size(found))
+
+    def placed(parts):
+        ends = _running(F.transform(parts, lambda x: x["gap"] + x["len"]), 0, lambda a, x: a + x)
+        spans = F.zip_with(parts, ends, lambda x, end: F.struct((end - x["len"]).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["val"].alias("val")))
+        return F.transform(F.filter(spans, lambda x: x["val"] >= least), lambda x: F.struct(x["start"], x["kind"], x["end"]).cast(SPAN))
+
+    return F.when(F.regexp_like(text, lit), _let(parts, placed)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def _listed(spans: Column) -> Column:
@@ -126,17 +139,23 @@ def _uncovered(bare: DataFrame, strong: DataFrame, cell: int = 64) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns, each run of overlapping spans replaced by
     `mark`; n_chars, where there is one, follows the new text. Null text stays."""
-    step = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"]).otherwise(
-                F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-            ).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1)),
-    )
+    # what stays: from the greatest end so far to the start of the next run of spans
+    ends = F.transform("spans", lambda s: s["end"])
+    before = F.concat(F.array(F.lit(0)), F.slice(_running(ends, 0, lambda a, x: F.greatest(a, x)), 1, F.greatest(F.size("spans") - 1, F.lit(0))))
+    gaps = F.filter(F.zip_with(before, "spans", lambda a, s: F.struct(a.alias("a"), s["start"].alias("b"))), lambda k: k["a"] <= k["b"])
+    kept = F.concat(gaps, F.array(F.struct(F.array_max(ends).alias("a"), F.length("text").alias("b"))))
+    # characters are found within blocks, not from the start of a long text each time
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{WINDOW}}}"), F.lit(0))
+
+    def piece(blocks, k):
+        block = lambda c: (c / WINDOW).cast("int")
+        at = lambda i: F.coalesce(F.get(blocks, i), F.lit(""))
+        a, b = block(k["a"]), block(k["b"])
+        inner = F.array_join(F.slice(blocks, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+        return F.when(a == b, F.substr(at(a), k["a"] % WINDOW + 1, k["b"] - k["a"])).otherwise(
+            F.concat(F.substr(at(a), k["a"] % WINDOW + 1), inner, F.substr(at(b), F.lit(1), k["b"] % WINDOW)))
+
+    step = _let(blocks, lambda bs: F.array_join(F.transform(kept, lambda k: piece(bs, k)), mark))
     text = F.when(F.size("spans") > 0, step).otherwise(F.col("text"))
     found = secret_spans(docs).withColumn("text", text)
     if "n_chars" in docs.columns:

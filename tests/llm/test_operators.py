@@ -466,6 +466,36 @@ def test_secrets_in_key_value_lines(spark):
     assert clean[0] == "aws_access_key_id=[SECRET]\naws_secret_access_key=[SECRET]\nendpoint_url=[SECRET]\n"
 
 
+def test_secrets_in_a_long_text(spark):
+    """More matches than a piece and more characters than a block; overlaps; time
+    in proportion to the text."""
+    import time
+
+    r = random.Random(5)
+    word = lambda: r.choice(["é", "日本 ", "x" * r.randint(1, 90), "😀 ", "\n"])
+    secret = lambda: r.choice(["f" * 32, "token=" + "a0" * 20, "AKIA" + "Z" * 16 + " ", "secret: " + "c" * 40])
+    long = "".join(word() + r.choice(["", secret() + "!"]) for _ in range(3000))
+    rows = [long, "f" * 32, "f" * 32 + " ", "x" * 2048 + "f" * 32 + "y" * 2048, "", None]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    spans = {x["doc_id"]: [(s["start"], s["end"]) for s in x["spans"]] for x in secrets.secret_spans(frame).collect()}
+    got = {x["doc_id"]: x["text"] for x in secrets.redact(frame).collect()}
+    assert len(spans[0]) > 1000
+    for i, text in enumerate(rows):
+        out, at = "", 0
+        for a, b in spans[i]:
+            if a >= at:
+                out += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert got[i] == (None if text is None else out + text[at:])
+    seconds = []
+    for n in (2000, 16_000):
+        many = spark.createDataFrame([(0, ("ab " * 5 + "0123456789abcdef" * 2 + "\n") * n)], "doc_id long, text string")
+        began = time.time()
+        assert secrets.redact(many).first()["text"].count("[SECRET]") == n
+        seconds.append(time.time() - began)
+    assert seconds[1] < 25 * max(seconds[0], 0.5)
+
+
 def test_fingerprints(spark):
     frame = docs(spark)
     rows = sorted(((r["doc_id"], r["text"] or "") for r in frame.collect()), key=lambda r: (-1 if r[0] is None else r[0], r[1]))
