@@ -3,8 +3,11 @@ one by one."""
 
 from __future__ import annotations
 
+import contextlib
+import logging
 import re
 from dataclasses import dataclass, field, fields
+from functools import cached_property
 
 # Default label names and reserved prefixes of the label contract.
 RESERVED_NAMES = (
@@ -18,6 +21,12 @@ BATCH_SIZE, QUEUE_SIZE = 1000, 10_000
 RANGE_POINTS, PHASE_TWO_CALLS, DISCOVERY_BATCH, LABEL_BYTES = 11_000, 100, 50, 2048
 LOOKBACK_SECONDS = 7_776_000
 
+# The modes of the settings that have some.
+MODES = {
+    "if_speed_mode": ("NORMALIZED", "RAW"), "categories_mode": ("PER_CATEGORY", "RAW", "BOTH"), "metadata_case": ("PRESERVE", "SNAKE_CASE"),
+    "wal_overflow": ("BACKPRESSURE", "DROP_OLDEST"), "wal_fsync": ("ALWAYS", "BATCH", "NEVER"),
+}
+
 _NAME = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*")
 #: White space beyond what str.strip() takes away.
 _BLANK = "​﻿"
@@ -30,6 +39,13 @@ def blank_to_none(text: str | None) -> str | None:
     return found or None
 
 
+def label_name(text: str) -> str:
+    """A label's name of any text; what is no letter, digit or _ becomes _ (two
+    beyond the basic plane), and so does a digit in front."""
+    out = "".join(c if c.isascii() and (c.isalnum() or c == "_") else "_" * (1 + (ord(c) > 0xFFFF)) for c in text)
+    return "_" + out[1:] if out[:1].isdigit() else out
+
+
 def parse_csv(text: str | None) -> list[str]:
     return [x.strip() for x in (text or "").split(",") if x.strip()]
 
@@ -93,11 +109,18 @@ class Config:
     wal_overflow: str = "BACKPRESSURE"
     wal_fsync: str = "BATCH"
 
-    @property
+    def __post_init__(self):
+        # modes are kept in one spelling, whatever the one they came in; wrong ones stay for errors()
+        for name, allowed in MODES.items():
+            with contextlib.suppress(ValueError):
+                object.__setattr__(self, name, parse_enum(getattr(self, name), allowed, name))
+        object.__setattr__(self, "metadata_prefix", label_name(blank_to_none(self.metadata_prefix) or "onms_meta_"))
+
+    @cached_property
     def rename(self) -> dict[str, str]:
         return {k: v[0] for k, v in parse_arrows(self.labels_rename).items()}
 
-    @property
+    @cached_property
     def copy(self) -> dict[str, list[str]]:
         return parse_arrows(self.labels_copy, many=True)
 
@@ -144,15 +167,12 @@ class Config:
             bad.append("discovery_batch is not in 1..200")
         if self.wal_segment_bytes > self.wal_max_bytes:
             bad.append("a WAL segment is over the WAL's size")
-        prefix = (blank_to_none(self.metadata_prefix) or "onms_meta_").lower()
+        prefix = self.metadata_prefix.lower()
         if any(prefix != r and (prefix.startswith(r) or r.startswith(prefix)) for r in RESERVED_PREFIXES):
             bad.append("metadata_prefix collides with a reserved prefix")
         if self.wire_version not in (1, 2):
             bad.append("wire_version is neither 1 nor 2")
-        for n, allowed in (
-            ("if_speed_mode", ("NORMALIZED", "RAW")), ("categories_mode", ("PER_CATEGORY", "RAW", "BOTH")), ("metadata_case", ("PRESERVE", "SNAKE_CASE")),
-            ("wal_overflow", ("BACKPRESSURE", "DROP_OLDEST")), ("wal_fsync", ("ALWAYS", "BATCH", "NEVER")),
-        ):
+        for n, allowed in MODES.items():
             try:
                 parse_enum(getattr(self, n), allowed, n)
             except ValueError as e:
@@ -162,6 +182,14 @@ class Config:
     def warnings(self) -> list[str]:
         return ["discovery_batch has no effect in one phase"] if not self.two_phase and self.discovery_batch != DISCOVERY_BATCH else []
 
+    def active(self) -> bool:
+        """Whether an engine starts with these settings: with wrong ones it stays
+        inactive, and what is wrong goes to the log."""
+        found = self.errors()
+        for e in found:
+            logging.getLogger(__name__).error("inactive: %s", e)
+        return not found
+
     def validate(self) -> Config:
         if found := self.errors():
             raise ValueError("; ".join(found))

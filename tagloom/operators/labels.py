@@ -11,7 +11,7 @@ from fnmatch import fnmatchcase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.config import Config, blank_to_none, parse_csv
+from tagloom.config import Config, parse_csv
 from tagloom.functions import scalars as S
 from tagloom.functions.resource import derive_job, parse_resource
 from tagloom.operators.match import Matcher, matching
@@ -186,8 +186,7 @@ def metadata(df: DataFrame, cfg: Config) -> DataFrame:
         return df.withColumn("denied", F.lit(0))
     inside, outside = parse_csv(cfg.metadata_include), parse_csv(cfg.metadata_exclude)
     keep = lambda k: context(k) & ~denied(k) & ~S.glob_match(k, outside) & S.glob_match(k, inside)
-    prefix = blank_to_none(cfg.metadata_prefix) or "onms_meta_"
-    named = lambda k: F.concat(F.lit(prefix), S.label_name(S.snake_case(k) if cfg.metadata_case == "SNAKE_CASE" else k))
+    named = lambda k: F.concat(F.lit(cfg.metadata_prefix), S.label_name(S.snake_case(k) if cfg.metadata_case == "SNAKE_CASE" else k))
     made = rewritten(F.col("tags"), keep, named)
     count = F.size(F.map_filter("tags", lambda k, _: context(k) & denied(k)))
     return df.withColumn("denied", count).withColumn("labels", keep_first(F.col("labels"), made))

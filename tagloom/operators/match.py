@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagloom.config import label_name
+
 OPS = ("=", "!=", "=~", "!~")
 
 
@@ -27,8 +29,7 @@ class Matcher:
     def label(self) -> str:
         if self.key == "name":
             return "__name__"
-        out = "".join(c if c.isascii() and (c.isalnum() or c == "_") else "_" * (1 + (ord(c) > 0xFFFF)) for c in self.key)
-        return "_" + out[1:] if out[:1].isdigit() else out
+        return label_name(self.key)
 
     def predicate(self, labels: Column) -> Column:
         return self.test(labels[self.label])

@@ -108,20 +108,35 @@ def decode(raw: bytes) -> list[tuple[int, int, object]]:
     return out
 
 
+def messages(rows, per_message: int):
+    """Lists of (labels, samples) with so many samples together at most, of rows
+    of the same; a longer series goes on in the next list, in order."""
+    part, room = [], per_message
+    for labels, samples in rows:
+        at = 0
+        while at < len(samples):
+            part.append((labels, samples[at : at + room]))
+            at += len(part[-1][1])
+            room -= len(part[-1][1])
+            if not room:
+                yield part
+                part, room = [], per_message
+    if part:
+        yield part
+
+
 def payloads(series: DataFrame, version: int = 1, per_message: int = 1000) -> DataFrame:
     """(series, samples, uncompressed, payload): a message for every so many
-    series (series_id, labels, samples) of a partition."""
+    samples of the series (series_id, labels, samples) of a partition."""
     encode = encoder(version)
 
     def run(batches):
-        for batch in batches:
-            rows = batch.to_pylist()
-            for a in range(0, len(rows), per_message):
-                part = [([(e["key"], e["value"]) for e in r["entries"]], [(s["ts_ms"], s["value"]) for s in r["samples"]]) for r in rows[a : a + per_message]]
-                raw = encode(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([len(part)]), pa.array([sum(len(s) for _, s in part)]), pa.array([len(raw)]), pa.array([compress(raw)], pa.binary())],
-                    names=["series", "samples", "uncompressed", "payload"])
+        rows = (r for batch in batches for r in batch.to_pylist())
+        for part in messages((([(e["key"], e["value"]) for e in r["entries"]], [(s["ts_ms"], s["value"]) for s in r["samples"]]) for r in rows), per_message):
+            raw = encode(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(part)]), pa.array([sum(len(s) for _, s in part)]), pa.array([len(raw)]), pa.array([compress(raw)], pa.binary())],
+                names=["series", "samples", "uncompressed", "payload"])
 
     rows = series.select(sorted_entries(F.col("labels")).alias("entries"), "samples")
     return rows.mapInArrow(run, "series long, samples long, uncompressed long, payload binary")

@@ -164,7 +164,7 @@ def test_stream_comes_again_after_a_failure(spark, tmp_path):
         start(stream(), down, str(tmp_path / "cp"), once=True).awaitTermination()
     up = Shipper(lambda _: 204, sleep=lambda _: None)
     start(stream(), up, str(tmp_path / "cp"), once=True).awaitTermination()
-    assert dict(up.counters) == {"samples_written": 1, "samples_dropped_nonfinite": 1, "samples_dropped_duplicate": 1}
+    assert dict(up.counters) == {"samples_written": 1, "samples_dropped_nonfinite": 1, "samples_dropped_duplicate": 1, "unparseable_resource_id": 1}
     assert down.counters["samples_written"] == 0
 
 
@@ -203,3 +203,77 @@ def test_wal_batch_syncs_segments(tmp_path, monkeypatch):
     synced.clear()
     log.flush()
     assert not synced
+
+
+def test_modes_in_any_spelling(spark):
+    cfg = Config(if_speed_mode="raw", categories_mode=" both ", wal_overflow="drop-oldest", metadata_prefix="9x-")
+    assert cfg.errors() == [] and (cfg.if_speed_mode, cfg.categories_mode, cfg.wal_overflow, cfg.metadata_prefix) == ("RAW", "BOTH", "DROP_OLDEST", "_x_")
+    assert Config(if_speed_mode="other").errors() and not Config(if_speed_mode="other").active() and cfg.active()
+    assert Config(metadata_prefix="onms-attr-").errors()
+    rows = spark.createDataFrame([(0, {"name": "a", "categories": "\t", "ifSpeed": " 7 "}, {}, {})], "seq int, intrinsic map<string,string>, meta map<string,string>, external map<string,string>")
+    labels = L.map_labels(rows, cfg).first()["labels"]
+    assert "categories" not in labels and labels["ifSpeed"] == " 7 "
+
+
+def test_vectors_and_rates(spark):
+    from tagloom.operators import promql as P
+
+    ids = {n: '{"__name__":"%s","job":"j"}' % n for n in "ab"}
+    rows = [(ids["a"], 0, 1.0), (ids["a"], 50, 4.0), (ids["a"], 90, 2.0), (ids["b"], 90, 7.0), (ids["b"], 10, 5.0)]
+    df = spark.createDataFrame(rows, "series_id string, ts_ms long, value double").withColumn("labels", T.labels_of(F.col("series_id")))
+    vector = P.instant(df, [], 100, 60)
+    assert P.sum_by(vector, "job").first()["total"] == 9.0 and P.count_series(vector).first()["series"] == 2
+    assert P.instant(df, [Matcher("name", "=", "b")], 40, 60).first()["value"] == 5.0
+    got = {(r["labels"]["__name__"], r["window_ms"]): r["rate"] for r in P.rate(df, 100, 50).collect()}
+    # (0, 100] lacks the sample at 0; the fall from 4 to 2 is a reset
+    assert got == {("a", 50): 30.0, ("a", 100): 20.0, ("b", 100): 20.0, ("a", 0): None} or got == {("a", 50): 30.0, ("a", 100): 20.0, ("b", 100): 20.0}
+
+
+def test_merged_range_has_the_first_labels(spark):
+    from tagloom.operators.read import merged_range
+
+    rows = [(0, {"__name__": "a"}, 0, 20, 1.0), (0, {"__name__": "a"}, 1, 10, 2.0), (1, {"__name__": "b"}, 0, 20, 3.0)]
+    df = spark.createDataFrame(rows, "series_ord int, labels map<string,string>, idx int, ts_ms long, value double")
+    found = merged_range(df).first()
+    assert found["labels"] == {"__name__": "a"} and [tuple(p) for p in found["points"]] == [(10, 2.0), (20, 3.0)]
+
+
+def test_messages_are_bounded_by_samples():
+    rows = [("a", list(range(5))), ("b", [1]), ("c", [])]
+    assert list(wire.messages(rows, 2)) == [[("a", [0, 1])], [("a", [2, 3])], [("a", [4]), ("b", [1])]]
+
+
+def test_matchers_below_the_mapping(spark):
+    asked = [Matcher("name", "=~", "u."), Matcher("resourceId", "!=", "")]
+    df, keep = samples(spark), [Config(), Config(labels_rename="__name__ -> other"), Config(labels_exclude="resource*")]
+    for cfg in keep:
+        all_rows = L.map_labels(df, cfg).where(matching(F.col("labels"), asked))
+        assert sorted(r["seq"] for r in L.map_labels(df, cfg, asked).collect()) == sorted(r["seq"] for r in all_rows.collect())
+
+
+def test_log_to_far_side(spark, tmp_path):
+    from tagloom.streaming.pipeline import WalShipper
+
+    log, answers = wal.Wal(str(tmp_path / "w"), segment_bytes=100), []
+    ship = WalShipper(log, lambda _: answers.pop(0), Config(retry_attempts=1), sleep=lambda _: None)
+    assert ship.ingest(samples(spark)) == 3
+    answers += [503]
+    assert ship.drain() == 0 and ship.stats.counters["samples_written"] == 0 and log.checkpoint() == 0
+    answers += [204]
+    assert ship.drain() == 1 and log.checkpoint() == log.end()
+    assert ship.stats.counters["samples_written"] == 1 and ship.stats.counters["samples_dropped_duplicate"] == 1 and ship.stats.counters["samples_dropped_nonfinite"] == 1
+    kinds = [(k, n) for k, n, _ in ship.stats.rows()]
+    assert kinds == sorted(kinds) and ship.stats.failed == 0
+    full = WalShipper(wal.Wal(str(tmp_path / "f"), segment_bytes=10, max_bytes=10), lambda _: 204)
+    assert full.ingest(samples(spark)) == 0 and full.stats.counters["samples_dropped_wal_full"] == 3
+
+
+def test_undecodable_frames_are_dead_letters(spark, tmp_path):
+    log = wal.Wal(str(tmp_path))
+    log.append({"__name__": "m"}, 1, 2.0)
+    with log.segments()[-1].open("ab") as f:
+        f.write(wal.frame(b"\xff\xff\xff"))
+    log.append({"__name__": "m"}, 2, 3.0)
+    rows = wal.read_segments(spark, str(tmp_path)).orderBy("offset").collect()
+    assert [r["ts_ms"] for r in rows] == [1, None, 2] and rows[0]["labels"] == {"__name__": "m"}
+    assert len(log.read(10)[2]) == 1 and log.pending() == 3
