@@ -168,7 +168,7 @@ class Config:
         if self.wal_segment_bytes > self.wal_max_bytes:
             bad.append("a WAL segment is over the WAL's size")
         prefix = self.metadata_prefix.lower()
-        if any(prefix != r and (prefix.startswith(r) or r.startswith(prefix)) for r in RESERVED_PREFIXES):
+        if any(prefix.startswith(r) or r.startswith(prefix) for r in RESERVED_PREFIXES if r != "onms_meta_"):
             bad.append("metadata_prefix collides with a reserved prefix")
         if self.wire_version not in (1, 2):
             bad.append("wire_version is neither 1 nor 2")
