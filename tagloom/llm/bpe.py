@@ -21,11 +21,11 @@ PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
 ASCII = r" ?[A-Za-z]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Words that a worker remembers at least, and twice as many at most, beside a
 #: slice's own: of two generations, the older one goes when the newer is full.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Pairs of tokens whose fit, and steps between states, that a worker remembers.
-PAIRS = 250_000
+PAIRS = 100_000
 #: Characters of text worked on at once; a longer document is taken alone.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -166,6 +166,8 @@ class TrieBpe:
                     if fits is None:
                         if len(known) > PAIRS:
                             known.clear()
+                            self.spines[0].clear()
+                            self.spines[1].clear()
                         fits = known[pair] = self.fit(last[end - size], token)
                     if fits:
                         text = f"{texts[end - size]},{token}"
@@ -213,7 +215,10 @@ class TrieBpe:
         """The texts of so many ids each, in UTF-8; what is none is replaced."""
         size = self.size[ids]
         ends = np.cumsum(size)
-        data = self.bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[ids] - (ends - size), size)].tobytes()
+        kind = np.int32 if not len(ends) or ends[-1] < 1 << 31 else np.int64
+        at = np.repeat((self.first[ids] - (ends - size)).astype(kind), size)
+        at += np.arange(len(at), dtype=kind)
+        data = self.bytes[at].tobytes()
         cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         return [data[a:b].decode("utf-8", "replace").encode() for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
