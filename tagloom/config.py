@@ -101,6 +101,11 @@ class Config:
     basic_password: str | None = field(default=None, repr=False)
     bearer_token: str | None = field(default=None, repr=False)
     tenant: str | None = None
+    http_connect_timeout_ms: int = 5000
+    http_read_timeout_ms: int = 30_000
+    http_max_connections: int = 16
+    tls_ca_file: str | None = None
+    tls_insecure: bool = False
     two_phase: bool = False
     discovery_batch: int = DISCOVERY_BATCH
     wal_enabled: bool = False
@@ -150,7 +155,7 @@ class Config:
             bad.append("basic and bearer exclude each other")
         if bool(self.basic_user) != bool(self.basic_password):
             bad.append("basic needs a user and a password")
-        for n in ("batch_size", "queue_capacity", "flush_interval_ms", "wal_max_bytes", "wal_segment_bytes", "retry_initial_backoff_ms"):
+        for n in ("batch_size", "queue_capacity", "flush_interval_ms", "wal_max_bytes", "wal_segment_bytes", "retry_initial_backoff_ms", "http_connect_timeout_ms", "http_read_timeout_ms", "http_max_connections"):
             if getattr(self, n) <= 0:
                 bad.append(f"{n} must be positive")
         if self.batch_size > self.queue_capacity:

@@ -14,7 +14,6 @@ def _label(x: str) -> str:
 _BR = r"'^(?:node|nodeSource)\[([^\]]+)\]\.([a-zA-Z][a-zA-Z0-9_-]*)\[([^\]]*)\]$'"
 _FS = r"'^snmp/fs/([^/\s\[\]]+)/([^/\s\[\]]+)/([^/\s\[\]]+)/(.+)$'"
 _DB = r"'^snmp/([1-9][0-9]{0,9})/([^/]+)/(.+)$'"
-_KEYS = "(VALUES ('ifName'),('HTTPServer'),('APIKey'),('HTTPProxyURL'),('a1B'),('nodeLabel'),('x'),('ABC'),('rack-unit'),('requisition:assetTag')) t(key)"
 
 
 def _speed(x: str) -> str:
@@ -165,11 +164,26 @@ _BODY = {
     "pipeline_stats": "SELECT unnest(['received', 'nameless', 'series', 'written', 'dropped_nonfinite', 'dropped_duplicate', 'unparseable']) AS name, unnest([received, nameless, series, written, dropped_nonfinite, dropped_duplicate, (SELECT count(*) FROM m WHERE rtype IS NULL)]) AS value FROM (" + _ACCOUNT + ")",
 }
 
+_TEXTS = "tt AS (SELECT DISTINCT unnest([key, value]) AS key FROM (" + _BODY["tag_merge"] + "))"
+_VALUE_TEXTS = """(SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ts_ms, CASE event_id % 89 WHEN 0 THEN 'NaN' WHEN 1 THEN '+Inf' WHEN 2 THEN '-Inf' WHEN 3 THEN 'Inf'
+    ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) || 'e-2' END AS text FROM events)"""
+_PARSED = "CASE text WHEN 'NaN' THEN 'nan' WHEN '-Inf' THEN '-' WHEN '+Inf' THEN '+' WHEN 'Inf' THEN '+' ELSE 'finite' END AS kind, CASE WHEN text NOT LIKE '%N%' AND text NOT LIKE '%I%' THEN CAST(text AS DOUBLE) END AS value"
+
 ORACLES = {k: f"WITH {BASE} {v}" for k, v in _BODY.items()} | {
     "sanitize_metric": f"SELECT doc_id, {_metric('text')} AS name FROM documents",
     "sanitize_label": f"SELECT doc_id, {_label('text')} AS name FROM documents",
-    "snake_case": f"SELECT key, lower(regexp_replace(regexp_replace(key, '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g'), '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) AS snake FROM {_KEYS}",
-    "glob_match": f"SELECT key, regexp_full_match(key, 'if.*|.*:.*|.1B') AS matched, lower(key) LIKE '%api%' AS any_case FROM {_KEYS}",
+    "snake_case": f"WITH {BASE}, {_TEXTS} SELECT key, lower(regexp_replace(regexp_replace(key, '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g'), '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) AS snake FROM tt",
+    "glob_match": f"WITH {BASE}, {_TEXTS} SELECT key, regexp_full_match(key, 'if.*|.*:.*|.th1') AS matched, lower(key) LIKE '%node%' AS any_case FROM tt",
+    "label_truncate": """SELECT doc_id, CAST(n AS INTEGER) AS bytes, CASE WHEN h IS NOT NULL THEN sha256(unhex(substr(h, 1, 2 * n))) END AS sha256 FROM (
+        SELECT doc_id, h, CASE WHEN len(h) <= 4096 THEN len(h) // 2 ELSE (SELECT max(k) FROM range(2045, 2049) t(k) WHERE substr(h, 2 * k + 1, 1) NOT IN ('8', '9', 'A', 'B')) END AS n
+        FROM (SELECT doc_id, hex(encode(text)) AS h FROM documents))""",
+    "parse_value": f"SELECT event_id, {_PARSED} FROM {_VALUE_TEXTS}",
+    "parse_series_json": """SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_mktsegment) - 1 AS INTEGER) AS pos,
+        unnest(['__name__', 'customer', 'segment']) AS label, unnest(['up', c_name, c_mktsegment]) AS value FROM customer""",
+    "parse_matrix_json": f"""SELECT user_id, event_type AS name, 0 AS series_ord, CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts_ms // 1000 || '.5,"' || text || '"]') - 1 AS INTEGER) AS idx,
+        ts_ms // 1000 * 1000 + 500 AS ts_ms, {_PARSED} FROM {_VALUE_TEXTS}""",
+    "request_paths": f"""WITH {BASE} SELECT DISTINCT node, '/api/v1/series?match[]=%7Bnode%3D%22' || replace(replace(node, ':', '%3A'), ' ', '+') || '%22%2Cjob%3D%7E%22snmp%7Cjmx+%2B+x%22%7D&start=1700000000' AS path
+        FROM m WHERE node IS NOT NULL""",
     "backoff_schedule": "SELECT CAST(k AS INTEGER) AS k, CAST(least(100 * pow(2, k), 5000) AS BIGINT) AS pause_ms FROM range(10) t(k)",
     "step_derivation": """SELECT event_id, greatest(CASE WHEN coalesce(s, 0) <> 0 THEN greatest(1, s) ELSE greatest(1, span // 600) END, CAST(ceil(span / 11000.0) AS BIGINT)) AS step_s
         FROM (SELECT event_id, greatest(1, event_id * 7919) AS span, CASE WHEN event_id % 3 = 0 THEN event_id % 17 END AS s FROM events)""",

@@ -111,21 +111,20 @@ def label_truncate(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.octet_length(cut).alias("bytes"), F.sha2(cut, 256).alias("sha256"))
 
 
-_KEYS = ["ifName", "HTTPServer", "APIKey", "HTTPProxyURL", "a1B", "nodeLabel", "x", "ABC", "rack-unit", "requisition:assetTag"]
-
-
-def _keys(spark) -> DataFrame:
-    return spark.createDataFrame([(k,) for k in _KEYS], "key string")
+def _tag_texts(spark, d) -> DataFrame:
+    """Keys and values of all tags, each text once."""
+    x = _tagged(spark, d).select(F.explode("tags").alias("key", "value"))
+    return x.select(F.explode(F.array("key", "value")).alias("key")).where("key is not null").distinct()
 
 
 @query
 def snake_case(spark, d):
-    return _keys(spark).select("key", S.snake_case(F.col("key")).alias("snake"))
+    return _tag_texts(spark, d).select("key", S.snake_case(F.col("key")).alias("snake"))
 
 
 @query
 def glob_match(spark, d):
-    return _keys(spark).select("key", S.glob_match(F.col("key"), ["if*", "*:*", "?1B"]).alias("matched"), S.glob_match(F.col("key"), ["*API*"], True).alias("any_case"))
+    return _tag_texts(spark, d).select("key", S.glob_match(F.col("key"), ["if*", "*:*", "?th1"]).alias("matched"), S.glob_match(F.col("key"), ["*NODE*"], True).alias("any_case"))
 
 
 @query
@@ -139,10 +138,23 @@ def if_speed_raw(spark, d):
     return _labels(mapped(spark, d, Config(if_speed_mode="RAW")), F.col("label").isin("ifSpeed", "ifHighSpeed"))
 
 
+def _value_texts(spark, d) -> DataFrame:
+    """Every event's value as a text of the query API; some are not finite."""
+    e = F.col("event_id")
+    text = F.when(e % 89 == 0, "NaN").when(e % 89 == 1, "+Inf").when(e % 89 == 2, "-Inf").when(e % 89 == 3, "Inf").otherwise(
+        F.concat(F.floor(F.col("value") * 100).cast("bigint").cast("string"), F.lit("e-2")))
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), text.alias("text"))
+
+
+def _parsed(value: Column) -> list[Column]:
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    kind = F.when(finite, "finite").when(F.isnan(value), "nan").when(value > 0, "+").otherwise("-")
+    return [kind.alias("kind"), F.when(finite, value).alias("value")]
+
+
 @query
 def parse_value(spark, d):
-    rows = spark.createDataFrame([(x,) for x in ("1.5", "NaN", "+Inf", "-Inf", "Inf", "1e3", "-0")], "text string")
-    return rows.select("text", S.parse_value(F.col("text")).alias("value"))
+    return _value_texts(spark, d).select("event_id", *_parsed(S.parse_value(F.col("text"))))
 
 
 @query
@@ -402,14 +414,32 @@ def fetch_range_samples(spark, d):
 
 @query
 def parse_series_json(spark, d):
-    body = '{"status":"success","data":[{"__name__":"a","x":"1"},{"__name__":"b"}]}'
-    return json_api.parse_series(spark.createDataFrame([(body,)], "body string")).select("pos", F.explode("labels").alias("label", "value"))
+    """Answers with the customers of a nation each."""
+    one = F.to_json(F.create_map(F.lit("__name__"), F.lit("up"), F.lit("customer"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment")))
+    rows = spark.read.parquet(f"{d}/customer.parquet").groupBy("c_nationkey").agg(F.concat_ws(",", F.sort_array(F.collect_list(one))).alias("all"))
+    body = F.concat(F.lit('{"status":"success","data":['), "all", F.lit("]}")).alias("body")
+    return json_api.parse_series(rows.select("c_nationkey", body), keep=["c_nationkey"]).select("c_nationkey", "pos", F.explode("labels").alias("label", "value"))
 
 
 @query
 def parse_matrix_json(spark, d):
-    body = '{"status":"success","data":{"resultType":"matrix","result":[{"metric":{"__name__":"a"},"values":[[1700000000.5,"1.5"],[1700000060,"+Inf"]]}]}}'
-    return json_api.parse_matrix(spark.createDataFrame([(body,)], "body string")).select("series_ord", "idx", "ts_ms", "value")
+    """Range answers with all events of a user and type each."""
+    point = F.concat(F.lit("["), F.floor(F.col("ts_ms") / 1000).cast("bigint").cast("string"), F.lit('.5,"'), "text", F.lit('"]'))
+    rows = _value_texts(spark, d).groupBy("user_id", "event_type").agg(F.concat_ws(",", F.sort_array(F.collect_list(point))).alias("all"))
+    head, mid = '{"status":"success","data":{"resultType":"matrix","result":[{"metric":{"__name__":"', '"},"values":['
+    body = F.concat(F.lit(head), "event_type", F.lit(mid), "all", F.lit("]}]}}")).alias("body")
+    return json_api.parse_matrix(rows.select("user_id", body), keep=["user_id"]).select(
+        "user_id", F.col("labels")["__name__"].alias("name"), "series_ord", "idx", "ts_ms", *_parsed(F.col("value")))
+
+
+@query
+def request_paths(spark, d):
+    """The paths that ask for every node's series."""
+    from tagloom.sources.http import series_path
+
+    rows = mapped(spark, d, NARROW).select(F.col("labels")["node"].alias("node")).where("node is not null").distinct()
+    match = F.concat(F.lit('{node="'), "node", F.lit('",job=~"snmp|jmx + x"}'))
+    return rows.select("node", series_path(match, 1_700_000_000).alias("path"))
 
 
 # ---------------------------------------------------------------- analytics

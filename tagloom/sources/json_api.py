@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,17 +33,19 @@ def _as_type(schema: str) -> str:
     return StructType.fromDDL(schema).simpleString()
 
 
-def parse_series(df: DataFrame, body: str = "body") -> DataFrame:
-    """(pos, labels) of a series answer."""
-    return df.select(F.posexplode(_checked(F.col(body), _SERIES)["data"]).alias("pos", "labels"))
+def parse_series(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """(pos, labels) of a series answer, behind the columns to keep."""
+    return df.select(*keep, F.posexplode(_checked(F.col(body), _SERIES)["data"]).alias("pos", "labels"))
 
 
 def parse_label_values(df: DataFrame, body: str = "body") -> DataFrame:
     return df.select(F.explode(_checked(F.col(body), _VALUES)["data"]).alias("value")).where("value <> ''")
 
 
-def parse_matrix(df: DataFrame, body: str = "body") -> DataFrame:
-    """(series_ord, labels, idx, ts_ms, value) of a range answer."""
-    result = df.select(_checked(F.col(body), _MATRIX)["data"]["result"].alias("r"))
-    series = result.select(F.posexplode("r").alias("series_ord", "s")).select("series_ord", F.col("s.metric").alias("labels"), F.posexplode("s.values").alias("idx", "p"))
-    return series.select("series_ord", "labels", "idx", to_millis(F.col("p")[0].cast("double")).alias("ts_ms"), parse_value(F.col("p")[1]).alias("value"))
+def parse_matrix(df: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """(series_ord, labels, idx, ts_ms, value) of a range answer, behind the
+    columns to keep."""
+    result = df.select(*keep, _checked(F.col(body), _MATRIX)["data"]["result"].alias("r"))
+    series = result.select(*keep, F.posexplode("r").alias("series_ord", "s")).select(
+        *keep, "series_ord", F.col("s.metric").alias("labels"), F.posexplode("s.values").alias("idx", "p"))
+    return series.select(*keep, "series_ord", "labels", "idx", to_millis(F.col("p")[0].cast("double")).alias("ts_ms"), parse_value(F.col("p")[1]).alias("value"))

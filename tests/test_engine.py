@@ -277,3 +277,121 @@ def test_undecodable_frames_are_dead_letters(spark, tmp_path):
     rows = wal.read_segments(spark, str(tmp_path)).orderBy("offset").collect()
     assert [r["ts_ms"] for r in rows] == [1, None, 2] and rows[0]["labels"] == {"__name__": "m"}
     assert len(log.read(10)[2]) == 1 and log.pending() == 3
+
+
+class FarSide:
+    """A server in this process: answers by path, and what was asked for."""
+
+    def __init__(self, answer):
+        import http.server
+        import threading
+
+        seen = self.seen = []
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            protocol_version = "HTTP/1.1"
+
+            def do_GET(self):
+                body = self.rfile.read(int(self.headers.get("Content-Length", 0)))
+                seen.append((self.command, self.path, dict(self.headers), body))
+                status, text = answer(self.command, self.path, len(seen))
+                self.send_response(status)
+                self.send_header("Content-Length", str(len(text)))
+                self.end_headers()
+                self.wfile.write(text)
+
+            do_POST = do_GET
+
+            def log_message(self, *_):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}"
+
+
+def test_posts_arrive_with_headers(spark, tmp_path):
+    from tagloom.sources.http import Post
+    from tagloom.streaming.pipeline import WalShipper
+
+    far = FarSide(lambda command, path, n: (503, b"x" * 2000) if n == 1 else (204, b""))
+    cfg = Config(write_url=far.url + "/api/v1/write?a=b", bearer_token="t", tenant="me", retry_attempts=2)
+    post = Post(cfg)
+    assert send(b"abc", post, cfg, lambda _: None) == Outcome("success", 2)
+    command, path, head, body = far.seen[-1]
+    assert (command, path, body) == ("POST", "/api/v1/write?a=b", b"abc")
+    assert head["Authorization"] == "Bearer t" and head["X-Scope-OrgID"] == "me" and head["Content-Encoding"] == "snappy" and head["Content-Length"] == "3"
+    log = wal.Wal(str(tmp_path / "w"))
+    ship = WalShipper(log, post, cfg)
+    ship.ingest(samples(spark))
+    assert ship.drain() == 1 and ship.stats.counters["samples_written"] == 1
+    far.server.shutdown()
+    far.server.server_close()
+    assert send(b"abc", Post(cfg), cfg, lambda _: None) == Outcome("dropped_transport", 2)
+
+
+def test_executors_post_a_batch(spark):
+    from tagloom.sources.http import Post
+
+    far = FarSide(lambda command, path, n: (204, b""))
+    ship = Shipper(Post(Config(write_url=far.url)), Config())
+    ship(samples(spark), 0)
+    assert ship.counters["samples_written"] == 1 and {c for c, *_ in far.seen} == {"POST"}
+
+
+def test_discovery_over_http(spark):
+    import json
+    from urllib.parse import parse_qs, urlsplit
+
+    from tagloom.sources import http as far_http
+
+    series = [{"__name__": "up", "resourceId": f"node[{i}].nodeSnmp[]"} for i in range(7)]
+
+    def answer(command, path, n):
+        at = urlsplit(path)
+        match = parse_qs(at.query)["match[]"][0]
+        if at.path.endswith("/values"):
+            found = [s["resourceId"] for s in series] + [""]
+        else:
+            found = [s | {"asked": match[:12]} for s in series if "^(" not in match or far_http.alternation([s["resourceId"]])[2:-2].replace("\\", "\\\\") in match] * 2
+        return 200, json.dumps({"status": "success", "data": found}).encode()
+
+    far = FarSide(answer)
+    asked = [Matcher("name", "=", 'u"p ü'), Matcher("resourceId", "=~", "node.*")]
+    for cfg, calls in ((Config(read_url=far.url + "/", tenant="me"), 1), (Config(read_url=far.url, two_phase=True, discovery_batch=3), 4)):
+        far.seen.clear()
+        got = far_http.discover(spark, asked, cfg, 1000, 100).collect()
+        assert sorted(r["labels"]["resourceId"] for r in got) == [s["resourceId"] for s in series]
+        assert len(far.seen) == calls and all("start=900" in path and 'u\\"p ü' in parse_qs(urlsplit(path).query)["match[]"][0] for _, path, *_ in far.seen)
+    with pytest.raises(ValueError, match="calls"):
+        far_http.check_calls(101, 1)
+
+
+def test_answers_are_checked(spark):
+    from tagloom.sources.http import Get, QueryError
+
+    far = FarSide(lambda command, path, n: (404, b"no such") if path == "/no" else (200, b"x" * 100))
+    assert Get(Config(read_url=far.url))("/yes") == "x" * 100
+    with pytest.raises(QueryError, match="404: no such"):
+        Get(Config(read_url=far.url))("/no")
+    with pytest.raises(QueryError, match="over 99 bytes"):
+        Get(Config(read_url=far.url), 99)("/yes")
+    far.server.shutdown()
+    far.server.server_close()
+    with pytest.raises(QueryError, match="no answer"):
+        Get(Config(read_url=far.url))("/yes")
+
+
+def test_tls_settings(tmp_path, caplog, monkeypatch):
+    import ssl
+
+    from tagloom.sources import http as far_http
+
+    monkeypatch.setattr(far_http, "_warned", None)
+    for _ in range(2):
+        assert far_http.tls(Config(tls_insecure=True)).verify_mode == ssl.CERT_NONE
+    assert len(caplog.records) == 1 and far_http.tls(Config()).verify_mode == ssl.CERT_REQUIRED
+    (tmp_path / "ca").write_text("nothing")
+    for name in ("ca", "none"):
+        with pytest.raises(ValueError, match="certificates"):
+            far_http.tls(Config(tls_ca_file=str(tmp_path / name)))
