@@ -163,11 +163,26 @@ def _pairs(cand: DataFrame, s: Settings, across: bool) -> DataFrame:
     """(x, y), x < y: pairs of classes that share a bucket and are likely links:
     of each block a spanning forest, or, with across, every one between
     different components (columns root, and marks: a pair counts in the first
-    band that it shares, once). Buckets beyond BLOCK members are dealt
-    by pairs of blocks over as many groups, so none has to fit in a task."""
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK))
-    own = F.pmod(F.xxhash64("cid"), blocks)
-    wide = cand.withColumn("own", own).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
+    band that it shares, once). A bucket beyond BLOCK members is dealt by blocks
+    over as many groups, so none has to fit in a task. For forests each block
+    meets itself and the bucket's first block; across components the blocks of
+    the bucket's largest component meet those of the others alone: in both the
+    work grows with a group of near copies, not with its square."""
+    place = F.xxhash64("cid")
+    if across:
+        counts = cand.where(F.col("size") > BLOCK).groupBy("key", "root").agg(F.count("*").alias("c"))
+        mains = counts.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"))
+        cand = cand.join(mains, "key", "left_outer")
+        others = F.coalesce(F.ceil((F.col("all") - F.col("most")) / F.lit(BLOCK)), F.lit(1))
+        inside = F.col("root").eqNullSafe(F.col("main"))
+        own = F.when(inside, others + F.pmod(place, F.ceil(F.col("most") / F.lit(BLOCK)))).otherwise(F.pmod(place, others))
+        last = F.when(inside, others - 1).otherwise(others + F.coalesce(F.ceil(F.col("most") / F.lit(BLOCK)), F.lit(0)) - 1)
+        meets = F.sequence(F.lit(0).cast("long"), last.cast("long"))
+    else:
+        blocks = F.ceil(F.col("size") / F.lit(BLOCK))
+        own = F.pmod(place, blocks)
+        meets = F.when(own == 0, F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).otherwise(F.array(F.lit(0).cast("long"), own.cast("long")))
+    wide = cand.withColumn("own", own.cast("long")).withColumn("o", F.explode(meets))
     wide = wide.select("key", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "cid", "n", "sig", *(["root", "marks"] if across else []))
     dealt = wide.repartition(parts_of(cand.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j", "cid")
 

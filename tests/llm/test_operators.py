@@ -4,6 +4,7 @@ nulls, empty texts, repeated rows, a long text and clashing columns."""
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -95,6 +96,14 @@ def test_sharding(spark):
     order = sorted(got, key=lambda r: (r["shard"], r["slot"]))
     ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in order]
     assert ids == sorted(ids)
+    # rows in order of doc_id and checksum, each where the middle of its bytes falls
+    plain = sorted((-1 if i is None else i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16) for i, t in rows_of(spark))
+    at, total, expected = 0, sum(p[2] for p in plain), []
+    for i, crc, size in plain:
+        expected.append((None if i < 0 else i, size, crc, min(6, (2 * at + size) * 7 // (2 * total))))
+        at += size
+    assert [(r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in order] == expected
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
     assert sharding.shard_by_bytes(docs(spark, [])).count() == 0
 
 
@@ -192,6 +201,24 @@ def test_near_duplicates(spark):
     assert ids == sorted({str(i) for i, n, c, k in brute_groups(rows, 5, 80) if k})
 
 
+def test_near_duplicates_over_blocks_of_hot_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    r = random.Random(11)
+    rows = []
+    for step in (1, 2, 9, 40):  # how far neighbours are from each other
+        text = [f"{step}x{r.randint(0, 60)}" for _ in range(150)]
+        for _ in range(30):
+            rows.append(" ".join(text))
+            for _ in range(step):
+                text[r.randrange(len(text))] = f"new{r.randint(0, 9999)}"
+    r.shuffle(rows)
+    frame = docs(spark, rows)
+    rows = [(x["doc_id"], x["text"]) for x in frame.collect()]
+    expected = brute_groups(rows, 3, 85)
+    assert 20 < len({c for _, _, c, _ in expected}) < 90
+    same(neardup.near_duplicates(frame, neardup.THREE_85), expected)
+
+
 def test_near_duplicates_keep_columns_of_any_name(spark):
     text = [" ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30)), "", None]
     for ids in ([1, 2, 3, 4, 5, 6], [1, 1, 2, 2, 3, 4]):
