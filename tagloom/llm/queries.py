@@ -81,8 +81,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_pitman_yor": op4_pitman_yor, "op5_warc": op5_warc, "op8_fingerprints": op8_fingerprints, "op9_neardup": op9_neardup, "op10_toxicity": op10_toxicity, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe, "op7_secrets": op7_secrets}
-#: Near-duplicates by joining all shingles; recursion over links.
+#: Digests in base 32 by groups of 20 bits, the first page of each payload; near-duplicates
+#: by joining all shingles, recursion over links.
 ORACLE: dict[str, str] = {
+    "op5_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+h AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(flatten(list_transform(range(0, 8), lambda i: list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, 1 + 5 * i, 5) AS BIGINT) >> s) & 31) + 1, 1)))), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""",
     "op9_neardup": """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
